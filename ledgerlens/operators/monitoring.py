@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.rules import RISK_BANDS
 from ledgerlens.operators.quantiles import QUARTILES, box_stats, exact_quantiles
 
+
 def count_rows() -> Column:
     return F.count(F.lit(1))
 

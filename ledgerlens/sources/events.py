@@ -70,7 +70,12 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transaction_stream(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    """The same transactions as a file stream over the table's own files."""
+    """The same transactions as a file stream over the table's own files.
+
+    The table may be one file or a folder of files. A stream takes a single
+    file only through a glob, hence the one-letter class; it matches nothing else.
+    """
     path = events_path(sf_dir)
     schema = pin_session(spark).read.parquet(path).schema
-    return transactions_from_events(spark.readStream.schema(schema).options(**options).parquet(path))
+    stream = spark.readStream.schema(schema).options(**options).parquet(f"{path[:-1]}[{path[-1]}]")
+    return transactions_from_events(stream)
