@@ -79,19 +79,23 @@ def fraud_edges(
 ) -> DataFrame:
     """Weighted edges between the leading fraud users and fraud merchants.
 
-    Empty unless there are more than ``more_than`` frauds. Both key lists are
-    limited and broadcast. Ids are kept whole so that nodes stay distinct.
+    Empty unless there are more than ``more_than`` frauds. Both rankings and
+    the total are sums over the frauds per (user, merchant), so the table is
+    read once. The two key lists are limited and broadcast. Ids are kept whole
+    so that nodes stay distinct.
     """
-    bad = frauds(df, fraud_col)
-    enough = bad.agg(count_rows().alias("n")).scalar() > more_than
-    top_users = top_by_frauds(df, "user_id", users, fraud_col).select("user_id")
-    top_merchants = top_by_frauds(df, "merchant_id", merchants, fraud_col).select("merchant_id")
+    pairs = frauds(df, fraud_col).groupBy("user_id", "merchant_id").agg(count_rows().alias("weight"))
+
+    def leading(key: str, limit: int) -> DataFrame:
+        ranked = pairs.groupBy(key).agg(F.sum("weight").alias("frauds"))
+        return F.broadcast(ranked.orderBy(F.desc("frauds"), key).limit(limit).select(key))
+
+    total = pairs.agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("n")).scalar()
     return (
-        bad.filter(enough)
-        .join(F.broadcast(top_users), "user_id", "left_semi")
-        .join(F.broadcast(top_merchants), "merchant_id", "left_semi")
-        .groupBy("user_id", "merchant_id")
-        .agg(count_rows().alias("weight"))
+        pairs.join(leading("user_id", users), "user_id", "left_semi")
+        .join(leading("merchant_id", merchants), "merchant_id", "left_semi")
+        .filter(total > more_than)
+        .select("user_id", "merchant_id", "weight")
     )
 
 
@@ -121,14 +125,18 @@ def geo_anomalies(
 ) -> DataFrame:
     """Consecutive places of users with frauds that imply more than 800 km/h.
 
+    Most users of a large table have some fraud, so the users are matched last,
+    when only the few fast moves are left to be shuffled for it.
+
     The two limits of a chart (first users by id, first rows of each user) are
     off by default. The row limit is applied before the shuffle as well: Spark
     keeps only the first rows of a user on each side of it.
     """
     suspects = frauds(df, fraud_col).select("user_id").distinct()
+    rows = df
     if max_users is not None:
         suspects = F.broadcast(suspects.orderBy("user_id").limit(max_users))
-    rows = df.join(suspects, "user_id", "left_semi")
+        rows = df.join(suspects, "user_id", "left_semi")
     if max_rows_per_user is not None:
         first = F.row_number().over(Window.partitionBy("user_id").orderBy("timestamp", "transaction_id"))
         rows = rows.withColumn("rn", first).filter(F.col("rn") <= max_rows_per_user).drop("rn")
@@ -137,7 +145,7 @@ def geo_anomalies(
     measured = past.select("*", planar_km().alias("distance_km"), hours.alias("hours"))
     moving = measured.filter((F.col("hours") > 0) & (F.col("distance_km") > 0))
     speed = F.col("distance_km") / F.col("hours")
-    return moving.filter(speed > IMPOSSIBLE_SPEED).select(
+    fast = moving.filter(speed > IMPOSSIBLE_SPEED).select(
         "transaction_id",
         "user_id",
         "location_lat",
@@ -146,6 +154,7 @@ def geo_anomalies(
         F.least(speed, F.lit(float(SHOWN_SPEED))).alias("speed_kmh"),
         F.col(fraud_column(df, fraud_col)).alias("class"),
     )
+    return fast if max_users is not None else fast.join(suspects, "user_id", "left_semi")
 
 
 def api_extract(df: DataFrame, after: str | None = None, limit: int | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.features import assemble, model_features
 from ledgerlens.operators.quantiles import running_totals
 from ledgerlens.schema import MODEL_FEATURES
+from ledgerlens.sources.tables import scan_partitions
 
 # --- Fixed values: the two published parameter sets ---------------------------
 SCRIPT_PARAMS = {"numTrees": 100, "maxDepth": 10, "featureSubsetStrategy": "auto", "subsamplingRate": 1.0}
@@ -42,8 +43,16 @@ def split(
 
 
 def train_forest(train: DataFrame, seed: int = SEED, **params) -> RandomForestClassificationModel:
-    """Fit a forest on transactions; the vectors are kept while it iterates."""
-    vectors = assemble(model_features(train)).persist(StorageLevel.MEMORY_AND_DISK)
+    """Fit a forest on transactions; the vectors are kept while it iterates.
+
+    Training passes over the vectors many times. A table of fewer pieces than
+    there are cores (a small one) is spread first; a large one stays as it is.
+    """
+    vectors = assemble(model_features(train))
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    if scan_partitions(vectors) < cores:
+        vectors = vectors.repartition(cores)
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return RandomForestClassifier(
             featuresCol="features", labelCol="label", maxBins=MAX_BINS, seed=seed, **{**SCRIPT_PARAMS, **params}
@@ -52,17 +61,25 @@ def train_forest(train: DataFrame, seed: int = SEED, **params) -> RandomForestCl
         vectors.unpersist()
 
 
-def _ranking(predictions: DataFrame, score: str) -> DataFrame:
-    """Positives and negatives per distinct score with their running sums."""
-    counts = predictions.groupBy(F.col(score).alias("threshold")).agg(
+def outcome_table(predictions: DataFrame, score: str = "fraud_score") -> DataFrame:
+    """Positives and negatives per distinct (score, prediction).
+
+    All metrics are sums over this table, so the predictions are computed once.
+    """
+    return predictions.groupBy(F.col(score).alias("threshold"), "predicted_fraud").agg(
         F.count_if(F.col("is_fraud") == 1).alias("pos"), F.count_if(F.col("is_fraud") == 0).alias("neg")
     )
+
+
+def _ranking(outcomes: DataFrame) -> DataFrame:
+    """Counts per distinct score with their running sums."""
+    counts = outcomes.groupBy("threshold").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     return running_totals(counts, "threshold", ["pos", "neg"])
 
 
 def roc_curve(predictions: DataFrame, score: str = "fraud_score") -> DataFrame:
     """One point per distinct score: alerts at or above it against the truth."""
-    return _ranking(predictions, score).select(
+    return _ranking(outcome_table(predictions, score)).select(
         "threshold",
         F.col("cum_pos").alias("tp"),
         F.col("cum_neg").alias("fp"),
@@ -71,35 +88,38 @@ def roc_curve(predictions: DataFrame, score: str = "fraud_score") -> DataFrame:
     )
 
 
-def roc_auc(predictions: DataFrame, score: str = "fraud_score") -> DataFrame:
-    """Exact area under the ROC curve (trapezoids between distinct scores)."""
-    strip = F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2)
-    area = F.sum(F.try_divide(strip, F.col("total_pos").cast("double") * F.col("total_neg")))
-    return _ranking(predictions, score).agg(area.alias("auc"))
-
-
-def pr_auc(predictions: DataFrame, score: str = "fraud_score") -> DataFrame:
-    """Area under the precision-recall curve, from recall 0 at the first precision.
+def _areas(outcomes: DataFrame) -> DataFrame:
+    """Areas under the ROC and the precision-recall curve, exact by trapezoids.
 
     A point's predecessor follows from its own counts, so no second ordered
-    pass is needed; the first point has no predecessor and repeats its own
-    precision.
+    pass is needed. The precision-recall curve starts at recall 0 with the
+    precision of its first point.
     """
+    strip = F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2)
+    roc = F.sum(F.try_divide(strip, F.col("total_pos").cast("double") * F.col("total_neg")))
     now = F.try_divide(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg"))
     tp, fp = F.col("cum_pos") - F.col("pos"), F.col("cum_neg") - F.col("neg")
     before = F.coalesce(F.try_divide(tp, tp + fp), now)
-    width = F.try_divide("pos", "total_pos")
-    return _ranking(predictions, score).agg(F.sum(width * (now + before) / 2).alias("auc_pr"))
-
-
-def classification_metrics(predictions: DataFrame) -> DataFrame:
-    """Accuracy and class-weighted precision, recall and F1 in one aggregate."""
-    truth, said = F.col("is_fraud"), F.col("predicted_fraud")
-    counts = predictions.agg(
-        F.count_if((truth == 1) & (said == 1)).alias("tp"),
-        F.count_if((truth == 0) & (said == 1)).alias("fp"),
-        F.count_if((truth == 0) & (said == 0)).alias("tn"),
-        F.count_if((truth == 1) & (said == 0)).alias("fn"),
+    pr = F.sum(F.try_divide("pos", "total_pos") * (now + before) / 2)
+    return _ranking(outcomes).agg(roc.alias("auc_roc"), pr.alias("auc_pr"))
+
+
+def roc_auc(predictions: DataFrame, score: str = "fraud_score") -> DataFrame:
+    return _areas(outcome_table(predictions, score)).select(F.col("auc_roc").alias("auc"))
+
+
+def _quotients(outcomes: DataFrame) -> DataFrame:
+    """Accuracy and class-weighted precision, recall and F1 from the four cells."""
+    said = F.col("predicted_fraud") == 1
+
+    def cell(name: str, condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(name))), F.lit(0))
+
+    counts = outcomes.agg(
+        cell("pos", said).alias("tp"),
+        cell("neg", said).alias("fp"),
+        cell("neg", ~said).alias("tn"),
+        cell("pos", ~said).alias("fn"),
     )
     tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
     n, zero = tp + fp + tn + fn, F.lit(0.0)
@@ -125,15 +145,12 @@ def classification_metrics(predictions: DataFrame) -> DataFrame:
 
 def evaluate(predictions: DataFrame, score: str = "fraud_score") -> DataFrame:
     """All metrics as (metric, value) rows."""
+    outcomes = outcome_table(predictions, score)
 
     def long_form(df: DataFrame) -> DataFrame:
         return df.unpivot([], df.columns, "metric", "value")
 
-    return (
-        long_form(roc_auc(predictions, score).withColumnRenamed("auc", "auc_roc"))
-        .unionByName(long_form(pr_auc(predictions, score)))
-        .unionByName(long_form(classification_metrics(predictions)))
-    )
+    return long_form(_areas(outcomes)).unionByName(long_form(_quotients(outcomes)))
 
 
 def feature_importance(spark: SparkSession, model: RandomForestClassificationModel, top: int | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.rules import RISK_BANDS
-from ledgerlens.operators.quantiles import QUARTILES, box_stats, exact_quantiles
+from ledgerlens.operators.quantiles import QUARTILES, box_stats, exact_box
 
 
 def count_rows() -> Column:
@@ -169,7 +169,7 @@ def score_quantiles_by_class(df: DataFrame, fraud_col: str | None = None) -> Dat
     """Quartiles and tails of the score for each class."""
     probs = {"p05": 0.05, **QUARTILES, "p95": 0.95}
     classed = df.select(class_name(df, fraud_col).alias("class"), "fraud_score")
-    return exact_quantiles(classed, "class", "fraud_score", probs)
+    return exact_box(classed, "class", "fraud_score", probs).select("class", *probs)
 
 
 def risk_level_counts(df: DataFrame) -> DataFrame:

@@ -11,8 +11,14 @@ COARSE, FINE = 64, 64 * 4096
 
 
 def cell(value: Column, per_doubling: int) -> Column:
-    """Number of the grid cell of a value; never decreases with the value."""
-    return F.floor(F.signum(value) * F.log2(F.abs(value) + 1) * per_doubling)
+    """Number of the grid cell of a value; never decreases with the value.
+
+    Values are not null here. The default tells Spark so: it need not test the
+    cell for null on a join, a test it would push down to the scan together
+    with all the expressions the value is made of.
+    """
+    number = F.floor(F.signum(value) * F.log2(F.abs(value) + 1) * per_doubling)
+    return F.coalesce(number, F.lit(0).cast("long"))
 
 
 def _within(counts: DataFrame, part: list[str], order: str) -> DataFrame:
@@ -27,8 +33,32 @@ def _within(counts: DataFrame, part: list[str], order: str) -> DataFrame:
     return placed.withColumn("ranks", relative).filter(F.size("ranks") > 0).drop("before", "n")
 
 
-def exact_quantiles(df: DataFrame, group: str, value: str, probs: dict[str, float]) -> DataFrame:
-    """Interpolated quantiles per group, one column per entry of ``probs``.
+def _overall(cells: DataFrame) -> DataFrame:
+    """Add ``stats``: the group's basic statistics, merged from its cells."""
+    group = Window.partitionBy("g")
+    total, mean = F.sum("n").over(group), F.sum(F.col("n") * F.col("mean")).over(group)
+    merged = cells.select(
+        "*",
+        total.alias("total"),
+        (mean / total).alias("overall"),
+        F.min("low").over(group).alias("min_value"),
+        F.max("high").over(group).alias("max_value"),
+    )
+    apart = F.col("mean") - F.col("overall")
+    spread = F.sum(F.col("n") * (F.col("variance") + apart * apart)).over(group)
+    sd = F.sqrt(F.try_divide(spread, F.col("total") - 1))
+    return merged.select(
+        "g",
+        "coarse",
+        "n",
+        F.struct("total", "min_value", "max_value", F.col("overall").alias("mean_value"), sd.alias("sd_value")).alias(
+            "stats"
+        ),
+    )
+
+
+def exact_box(df: DataFrame, group: str, value: str, probs: dict[str, float]) -> DataFrame:
+    """n, min, max, mean, sd and interpolated quantiles per group.
 
     Three narrow scans: count per coarse cell, count per fine cell of the cells
     that hold a wanted rank, count per value of the fine cells left. All counts
@@ -40,32 +70,46 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: dict[str, floa
     data = data.withColumn("coarse", cell(F.col("v"), COARSE)).withColumn("fine", cell(F.col("v"), FINE))
     count = F.count(F.lit(1)).alias("n")
 
-    position = [F.lit(p) * (F.col("total") - 1) for p in probs.values()]
+    total = F.col("stats.total")
+    position = [F.lit(p) * (total - 1) for p in probs.values()]
     ranks = F.array(
         *[
             F.struct(F.lit(slot).alias("slot"), side(position[slot // 2]).cast("long").alias("rank"))
             for slot, side in enumerate([F.floor, F.ceil] * len(probs))
         ]
     )
-    top = data.groupBy("g", "coarse").agg(count)
-    top = top.withColumn("total", F.sum("n").over(Window.partitionBy("g"))).withColumn("ranks", ranks)
-    coarse = _within(top, ["g"], "coarse")
+    top = data.groupBy("g", "coarse").agg(
+        count,
+        F.min("v").alias("low"),
+        F.max("v").alias("high"),
+        F.avg("v").alias("mean"),
+        F.var_pop("v").alias("variance"),
+    )
+    coarse = _within(_overall(top).withColumn("ranks", ranks), ["g"], "coarse")
 
-    middle = data.join(F.broadcast(coarse), ["g", "coarse"]).groupBy("g", "coarse", "total", "ranks", "fine").agg(count)
+    middle = data.join(F.broadcast(coarse), ["g", "coarse"]).groupBy("g", "coarse", "stats", "ranks", "fine").agg(count)
     fine = _within(middle, ["g", "coarse"], "fine")
 
     bottom = data.join(F.broadcast(fine), ["g", "coarse", "fine"])
-    bottom = bottom.groupBy("g", "coarse", "total", "ranks", "fine", "v").agg(count)
-    found = _within(bottom, ["g", "fine"], "v").select("g", "total", "v", F.explode("ranks.slot").alias("slot"))
+    bottom = bottom.groupBy("g", "coarse", "stats", "ranks", "fine", "v").agg(count)
+    found = _within(bottom, ["g", "fine"], "v").select("g", "stats", "v", F.explode("ranks.slot").alias("slot"))
 
-    ends = found.groupBy("g", "total").agg(
+    ends = found.groupBy("g", "stats").agg(
         *[F.max(F.when(F.col("slot") == s, F.col("v"))).alias(f"end{s}") for s in range(2 * len(probs))]
     )
     lerp = []
     for i, name in enumerate(probs):
         low, high = F.col(f"end{2 * i}"), F.col(f"end{2 * i + 1}")
         lerp.append((low + (high - low) * (position[i] - F.floor(position[i]))).alias(name))
-    return ends.select(F.col("g").alias(group), *lerp)
+    return ends.select(
+        F.col("g").alias(group),
+        total.alias("n"),
+        "stats.min_value",
+        "stats.max_value",
+        "stats.mean_value",
+        "stats.sd_value",
+        *lerp,
+    )
 
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -74,22 +118,20 @@ QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 def box_stats(df: DataFrame, group: str, value: str, method: str = "exact") -> DataFrame:
     """n, min, quartiles, max, mean and standard deviation per group.
 
-    ``approx`` answers in one scan with sketched quartiles; ``exact`` adds the
-    three scans of `exact_quantiles`.
+    ``approx`` answers in one scan with sketched quartiles, ``exact`` in three.
     """
-    basics = [
+    if method == "exact":
+        return exact_box(df, group, value, QUARTILES)
+    if method != "approx":
+        raise ValueError(f"unknown method: {method}")
+    return df.groupBy(group).agg(
         F.count(value).alias("n"),
         F.min(value).alias("min_value"),
         F.max(value).alias("max_value"),
         F.avg(value).alias("mean_value"),
         F.stddev(value).alias("sd_value"),
-    ]
-    if method == "approx":
-        basics += [F.percentile_approx(value, p, 10_000).alias(name) for name, p in QUARTILES.items()]
-        return df.groupBy(group).agg(*basics)
-    if method != "exact":
-        raise ValueError(f"unknown method: {method}")
-    return df.groupBy(group).agg(*basics).join(exact_quantiles(df, group, value, QUARTILES), group)
+        *[F.percentile_approx(value, p, 10_000).alias(name) for name, p in QUARTILES.items()],
+    )
 
 
 def running_totals(df: DataFrame, value: str, sums: list[str]) -> DataFrame:

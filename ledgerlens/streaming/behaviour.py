@@ -10,12 +10,15 @@ trigger), and so is what one user can bring into one task.
 
 from __future__ import annotations
 
+import sys
+import warnings
 from collections.abc import Iterator
 from typing import Any
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -32,6 +35,9 @@ from ledgerlens.operators.history import (
 )
 from ledgerlens.schema import BEHAVIOUR_OUTPUT, TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
 
+# Executors get these functions by value; they need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STATE_SCHEMA = (
     "last_time timestamp, last_lat double, last_lon double, last_device string,"
     " seconds array<long>, counts array<long>, waiting binary"
@@ -105,6 +111,8 @@ def _features(rows: pd.DataFrame, last: tuple | None, seconds: np.ndarray, count
 
 
 def _advance(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    # Spark pads its output batches with empty rows, which pandas comments on.
+    warnings.filterwarnings("ignore", message="The behavior of DataFrame concatenation", category=FutureWarning)
     last, waiting = None, None
     seconds = counts = np.array([], dtype="int64")
     if state.exists:
