@@ -38,7 +38,7 @@ class HotPolicy:
     max_hot: int = 100_000
     slice_rows: int = 500_000
     min_width: int = 60
-    sample_rows: int = 10_000_000
+    sample_rows: int = 2_000_000
 
 
 DEFAULT_POLICY = HotPolicy()

@@ -39,7 +39,7 @@ from ledgerlens.schema import BEHAVIOUR_OUTPUT, TRANSACTION_COLUMNS, TRANSACTION
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 STATE_SCHEMA = (
-    "last_time timestamp, last_lat double, last_lon double, last_device string,"
+    "last_us long, last_lat double, last_lon double, last_device string,"
     " seconds array<long>, counts array<long>, waiting binary"
 )
 OUTPUT_SCHEMA = T.StructType(
@@ -60,99 +60,133 @@ OUTPUT_SCHEMA = T.StructType(
 )
 
 
-def _pack(rows: pd.DataFrame) -> bytes | None:
-    if rows.empty:
-        return None
-    table = pa.Table.from_pandas(rows, preserve_index=False)
+_ARROW_TYPES = {
+    "string": pa.string(),
+    "double": pa.float64(),
+    "boolean": pa.bool_(),
+    "int": pa.int32(),
+    "timestamp": pa.timestamp("us"),
+}
+_WAITING_SCHEMA = pa.schema([(f.name, _ARROW_TYPES[f.dataType.simpleString()]) for f in TRANSACTION_SCHEMA])
+_MICROS = 1_000_000
+
+# Rows of one user are kept as one array per column: groups are often tiny, and
+# the fixed cost of DataFrame operations would outweigh the work itself.
+Columns = dict[str, np.ndarray]
+
+
+def _pack(rows: Columns) -> bytes:
+    arrays = [pa.array(rows[f.name], type=f.type, from_pandas=True) for f in _WAITING_SCHEMA]
+    batch = pa.RecordBatch.from_arrays(arrays, schema=_WAITING_SCHEMA)
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
-        writer.write_table(table)
+    with pa.ipc.new_stream(sink, _WAITING_SCHEMA) as writer:
+        writer.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
 
-def _unpack(data: bytes) -> pd.DataFrame:
-    return pa.ipc.open_stream(data).read_all().to_pandas()
+def _unpack(data: bytes) -> Columns:
+    table = pa.ipc.open_stream(data).read_all()
+    return {f.name: table.column(f.name).to_numpy() for f in _WAITING_SCHEMA}
+
+
+def _columns(pdf: pd.DataFrame) -> Columns:
+    rows = {c: pdf[c].to_numpy() for c in TRANSACTION_COLUMNS}
+    rows["timestamp"] = rows["timestamp"].astype("datetime64[us]")
+    return rows
+
+
+def _take(rows: Columns, which: np.ndarray) -> Columns:
+    return {c: values[which] for c, values in rows.items()}
 
 
-def _seconds(times: pd.Series) -> np.ndarray:
-    return times.to_numpy().astype("datetime64[s]").astype("int64")
+def _behind(first: Any, values: np.ndarray) -> np.ndarray:
+    """Each value's predecessor; ``first`` precedes the first one."""
+    return np.concatenate([np.array([first], dtype=values.dtype), values[:-1]])
 
 
-def _features(rows: pd.DataFrame, last: tuple | None, seconds: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
+def _features(rows: Columns, last: tuple, seconds: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
     """Compare ordered rows of one user with each other and with the state."""
-    time, lat, lon, device = last if last is not None else (pd.NaT, np.nan, np.nan, None)
-    out = rows.copy()
-    now = _seconds(rows["timestamp"])
-    out["timestamp_seconds"] = now
-    out["prev_timestamp"] = rows["timestamp"].shift(1)
-    out["prev_lat"], out["prev_lon"] = rows["location_lat"].shift(1), rows["location_lon"].shift(1)
-    out["prev_device"] = rows["device_id"].shift(1)
-    out.loc[out.index[0], "prev_timestamp"] = time
-    out.loc[out.index[0], ["prev_lat", "prev_lon"]] = lat, lon
-    out.loc[out.index[0], "prev_device"] = device
-
-    known = np.concatenate([seconds, now])
+    last_us, last_lat, last_lon, last_device = last
+    micros = rows["timestamp"].astype("int64")
+    now = micros // _MICROS
+    known = np.ones(len(now), dtype=bool)
+    known[0] = last_us is not None
+    previous = _behind(last_us if last_us is not None else 0, micros)
+    prev_time = previous.astype("datetime64[us]")
+    prev_time[~known] = np.datetime64("NaT")
+    prev_lat = _behind(np.nan if last_lat is None else last_lat, rows["location_lat"])
+    prev_lon = _behind(np.nan if last_lon is None else last_lon, rows["location_lon"])
+    prev_device = _behind(last_device, rows["device_id"].astype(object))
+
+    # Range count: transactions up to this second minus those before the window.
+    at = np.concatenate([seconds, now])
     running = np.concatenate([[0], np.cumsum(np.concatenate([counts, np.ones(len(now), dtype="int64")]))])
-    upto = running[np.searchsorted(known, now, side="right")]
-    before = running[np.searchsorted(known, now - COUNT_WINDOW_SECONDS, side="left")]
-    out["txn_count_5min"] = upto - before
-
-    has_prev = out["prev_timestamp"].notna().to_numpy()
-    gap = np.full(len(out), NO_PREVIOUS_GAP, dtype="int64")
-    gap[has_prev] = now[has_prev] - _seconds(out["prev_timestamp"][has_prev])
-    north, east = out["location_lat"] - out["prev_lat"], out["location_lon"] - out["prev_lon"]
-    distance = (np.sqrt(north**2 + east**2) * KM_PER_DEGREE).fillna(0.0)
-    out["time_since_last_txn"] = gap
-    out["is_rapid_transaction"] = (gap < RAPID_GAP_SECONDS).astype("int32")
-    out["distance_from_prev"] = distance
-    out["is_impossible_travel"] = ((distance > TRAVEL_KM) & (gap < TRAVEL_SECONDS)).astype("int32")
-    out["device_changed"] = (out["prev_device"].notna() & (out["device_id"] != out["prev_device"])).astype("int32")
-    return out
+    upto = running[np.searchsorted(at, now, side="right")]
+    before = running[np.searchsorted(at, now - COUNT_WINDOW_SECONDS, side="left")]
+
+    gap = np.where(known, now - previous // _MICROS, NO_PREVIOUS_GAP)
+    north, east = rows["location_lat"] - prev_lat, rows["location_lon"] - prev_lon
+    distance = np.nan_to_num(np.sqrt(north**2 + east**2) * KM_PER_DEGREE, nan=0.0)
+    return pd.DataFrame(
+        {
+            **rows,
+            "timestamp": rows["timestamp"].astype("datetime64[ns]"),
+            "timestamp_seconds": now,
+            "prev_timestamp": prev_time.astype("datetime64[ns]"),
+            "prev_lat": prev_lat,
+            "prev_lon": prev_lon,
+            "prev_device": prev_device,
+            "txn_count_5min": upto - before,
+            "time_since_last_txn": gap,
+            "is_rapid_transaction": (gap < RAPID_GAP_SECONDS).astype("int32"),
+            "distance_from_prev": distance,
+            "is_impossible_travel": ((distance > TRAVEL_KM) & (gap < TRAVEL_SECONDS)).astype("int32"),
+            "device_changed": (known & (rows["device_id"] != prev_device)).astype("int32"),
+        }
+    )
 
 
 def _advance(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     # Spark pads its output batches with empty rows, which pandas comments on.
     warnings.filterwarnings("ignore", message="The behavior of DataFrame concatenation", category=FutureWarning)
-    last, waiting = None, None
+    last, waiting = (None, None, None, None), None
     seconds = counts = np.array([], dtype="int64")
     if state.exists:
-        time, lat, lon, device, held_seconds, held_counts, waiting = state.get
-        last = None if time is None else (pd.Timestamp(time), lat, lon, device)
+        *held, held_seconds, held_counts, waiting = state.get
+        last = tuple(held)
         seconds, counts = np.array(held_seconds, dtype="int64"), np.array(held_counts, dtype="int64")
 
     parts = [] if waiting is None else [_unpack(waiting)]
     if not state.hasTimedOut:
-        parts += [b for b in batches if len(b)]
+        parts += [_columns(b) for b in batches if len(b)]
+    if not parts:
+        return
+    rows = parts[0] if len(parts) == 1 else {c: np.concatenate([p[c] for p in parts]) for c in TRANSACTION_COLUMNS}
+
+    # A second is complete once the watermark has passed its end.
     watermark = max(state.getCurrentWatermarkMs(), 0)
     closed = watermark // 1000
-    rows = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=TRANSACTION_COLUMNS)
-    done = _seconds(rows["timestamp"]) < closed if len(rows) else np.array([], dtype=bool)
-    ready, rest = rows[done], rows[~done]
-
-    if len(ready):
-        ready = ready.sort_values(["timestamp", "transaction_id"]).reset_index(drop=True)
-        result = _features(ready, last, seconds, counts)
-        end = ready.iloc[-1]
-        last = (end["timestamp"], end["location_lat"], end["location_lon"], end["device_id"])
-        new_seconds, new_counts = np.unique(_seconds(ready["timestamp"]), return_counts=True)
+    second = rows["timestamp"].astype("int64") // _MICROS
+    done = second < closed
+
+    if done.any():
+        ready = _take(rows, done)
+        ready = _take(ready, np.lexsort((ready["transaction_id"].astype("U"), ready["timestamp"])))
+        yield _features(ready, last, seconds, counts)
+        last = (
+            int(ready["timestamp"][-1].astype("int64")),
+            float(ready["location_lat"][-1]),
+            float(ready["location_lon"][-1]),
+            ready["device_id"][-1],
+        )
+        new_seconds, new_counts = np.unique(second[done], return_counts=True)
         seconds, counts = np.concatenate([seconds, new_seconds]), np.concatenate([counts, new_counts])
-        yield result[OUTPUT_SCHEMA.fieldNames()]
 
     recent = seconds >= closed - COUNT_WINDOW_SECONDS
-    time, lat, lon, device = last if last is not None else (None, None, None, None)
-    state.update(
-        (
-            None if time is None else pd.Timestamp(time).to_pydatetime(),
-            None if lat is None else float(lat),
-            None if lon is None else float(lon),
-            device,
-            seconds[recent].tolist(),
-            counts[recent].tolist(),
-            _pack(rest),
-        )
-    )
-    if len(rest):
-        due = (int(_seconds(rest["timestamp"]).min()) + 1) * 1000 - 1
+    rest = None if done.all() else _pack(_take(rows, ~done))
+    state.update((*last, seconds[recent].tolist(), counts[recent].tolist(), rest))
+    if rest is not None:
+        due = (int(second[~done].min()) + 1) * 1000 - 1
         state.setTimeoutTimestamp(max(due, watermark + 1))
 
 
