@@ -58,9 +58,16 @@ def read_stream(
 
 
 def _decoded(df: DataFrame) -> DataFrame:
+    """``raw`` text and decoded ``data`` of each message.
+
+    The document passes through a one-element generator. A filter on decoded
+    fields would otherwise be pushed below the projection, where the document
+    is parsed anew for every field that the filter mentions.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    raw = F.col("value").cast("string")
-    return df.select(raw.alias("raw"), F.from_json(raw, _PARSE_SCHEMA, options).alias("data"))
+    document = F.from_json("raw", _PARSE_SCHEMA, options)
+    text = df.select(F.col("value").cast("string").alias("raw"))
+    return text.select("raw", F.explode(F.array(document)).alias("data"))
 
 
 def _typed() -> list[Column]:
