@@ -194,6 +194,12 @@ def confusion_pivot(predictions: DataFrame) -> DataFrame:
     )
 
 
+def preview(predictions: DataFrame, rows: int = 10) -> DataFrame:
+    """A few predictions for a report, by id."""
+    columns = ["transaction_id", "is_fraud", "predicted_fraud", "fraud_probability", "fraud_score"]
+    return predictions.select(*columns).orderBy("transaction_id").limit(rows)
+
+
 def save_model(model: RandomForestClassificationModel, path: str) -> None:
     model.write().overwrite().save(path)
 

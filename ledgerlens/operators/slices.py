@@ -92,7 +92,7 @@ def with_slices(
     horizon: int = 0,
     policy: HotPolicy | None = DEFAULT_POLICY,
 ) -> DataFrame:
-    """Rows plus carry rows, with ``slice``, ``second``, ``weight``, ``is_carry``.
+    """Rows plus carry rows, with ``place``, ``slice``, ``second``, ``weight``, ``is_carry``.
 
     ``carry`` names the columns a later ``lag`` reads. With ``policy=None`` no
     user is cut (for data known to be free of hot users).
@@ -109,8 +109,13 @@ def with_slices(
             F.lit(False).alias("is_carry"),
         )
 
+    def placed(of: DataFrame) -> DataFrame:
+        # Sorts compare the first eight bytes of the leading key before anything
+        # else. Ids share their prefix there; a hash of the key does not.
+        return of.withColumn("place", F.xxhash64(KEY, "slice"))
+
     if hot is None:
-        return rows(df, zero)
+        return placed(rows(df, zero))
     hot = F.broadcast(hot)
     hot_rows = df.join(hot, KEY).select(
         *df.columns, "width", second.alias("second"), _slice_of(second).alias("slice")
@@ -150,19 +155,19 @@ def with_slices(
         F.lit(True).alias("is_carry"),
     )
     cut = rows(df.join(hot, KEY, "left"), F.coalesce(_slice_of(second), zero))
-    return cut.unionByName(carried, allowMissingColumns=True)
+    return placed(cut.unionByName(carried, allowMissingColumns=True))
 
 
 def by_order() -> Window:
     """Total order within a slice; `second` comes first so that the frame by
     second can reuse the same sort."""
-    return Window.partitionBy(KEY, "slice").orderBy("second", TIME, ID)
+    return Window.partitionBy("place", KEY, "slice").orderBy("second", TIME, ID)
 
 
 def last_seconds(seconds: int) -> Window:
     """The current second and the ``seconds`` before it, ties included."""
-    return Window.partitionBy(KEY, "slice").orderBy("second").rangeBetween(-seconds, 0)
+    return Window.partitionBy("place", KEY, "slice").orderBy("second").rangeBetween(-seconds, 0)
 
 
 def drop_carry(df: DataFrame) -> DataFrame:
-    return df.filter(~F.col("is_carry")).drop("slice", "weight", "is_carry")
+    return df.filter(~F.col("is_carry")).drop("place", "slice", "weight", "is_carry")

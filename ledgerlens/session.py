@@ -19,6 +19,15 @@ RUNTIME_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# For streams with state of many users or ids: keep it in RocksDB on the
+# executors' disks instead of their heaps, and checkpoint only what changed.
+LARGE_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 _local_roots: dict[str, str] = {}
 
 
@@ -30,6 +39,13 @@ def pin_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_large_state(spark: SparkSession) -> SparkSession:
+    """Keep the state of streams started from now on in RocksDB."""
+    for key, value in LARGE_STATE_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def get_session(
     app_name: str | None = None,
     master: str | None = None,

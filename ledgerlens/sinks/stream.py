@@ -79,7 +79,7 @@ def fan_out(
             if console_rows:
                 batch.select(*[c for c in CONSOLE_OUTPUT if c in batch.columns]).show(console_rows, truncate=False)
             if view:
-                spark.read.parquet(path).createOrReplaceGlobalTempView(view)
+                spark.read.schema(batch.schema).parquet(path).createOrReplaceGlobalTempView(view)
         finally:
             batch.unpersist()
 

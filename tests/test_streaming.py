@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import history, scoring
 from ledgerlens.schema import CONSOLE_OUTPUT
+from ledgerlens.session import LARGE_STATE_CONF, use_large_state
 from ledgerlens.sinks import stream as sinks
 from ledgerlens.sinks.batch import encode_messages
 from ledgerlens.sources import messages
@@ -72,7 +73,7 @@ def test_behaviour_stream_equals_batch_over_many_batches(spark, tmp_path, seed):
     assert distances.filter(F.abs(F.col("distance_from_prev") - F.col("d")) > 1e-9).isEmpty()
 
 
-def test_behaviour_stream_orders_rows_that_arrive_swapped(spark, tmp_path):
+def test_behaviour_stream_orders_rows_that_arrive_swapped(spark, tmp_path, state_store):
     path = str(tmp_path / "in")
     first = [row(1, "U", 0), row(3, "U", 40, device_id="D2")]
     second = [row(2, "U", 20, device_id="D3"), row(4, "U", 70)]
@@ -109,7 +110,16 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     assert [r.txn_count_window for r in got.orderBy("window_start").collect()] == [1, 2]
 
 
-def test_duplicates_across_batches(spark, tmp_path):
+@pytest.fixture(params=["heap", "rocksdb"])
+def state_store(spark, request):
+    if request.param == "rocksdb":
+        use_large_state(spark)
+    yield request.param
+    for key in LARGE_STATE_CONF:
+        spark.conf.unset(key)
+
+
+def test_duplicates_across_batches(spark, tmp_path, state_store):
     path = str(tmp_path / "in")
     for rows in ([row(1, "U", 0), row(2, "U", 5)], [row(2, "U", 5), row(3, "U", 9)], [row(1, "U", 0)]):
         table(spark, rows).coalesce(1).write.mode("append").parquet(path)
