@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.features import add, assemble, model_features, rule_features
+from ledgerlens.functions.features import add, assemble, flag, model_features, rule_features
 from ledgerlens.functions.rules import BEHAVIOUR_RULES, apply_rules, confusion_flags, risk_level
 from ledgerlens.operators.history import behaviour_features
 from ledgerlens.operators.slices import DEFAULT_POLICY, HotPolicy
@@ -27,19 +27,26 @@ def score_behaviour(df: DataFrame, policy: HotPolicy | None = DEFAULT_POLICY) ->
     return apply_rules(behaviour_features(df, policy), BEHAVIOUR_RULES)
 
 
+def _probability_only(model: RandomForestClassificationModel) -> RandomForestClassificationModel:
+    """A copy that adds the probability column alone: one walk of the trees per row."""
+    return model.copy().setRawPredictionCol("").setPredictionCol("")
+
+
 def score_model(df: DataFrame, model: RandomForestClassificationModel) -> DataFrame:
     """Transactions with the forest's probability, score, class and risk level.
 
-    A probability of exactly one half is not a fraud to the forest although its
-    score of 50 is in the MEDIUM band.
+    The class is the likelier one, read off the probabilities. A probability of
+    exactly one half is not a fraud to the forest although its score of 50 is
+    in the MEDIUM band.
     """
-    predicted = model.transform(assemble(model_features(df), label=None))
-    probability = F.coalesce(F.get(vector_to_array("probability"), F.lit(1)), F.lit(0.0))
-    scored = add(
-        predicted,
-        {"predicted_fraud": F.col("prediction").cast("int"), "fraud_probability": probability},
-    ).drop("features", "rawPrediction", "probability", "prediction")
-    scored = add(scored, {"fraud_score": F.col("fraud_probability") * 100})
+    predicted = _probability_only(model).transform(assemble(model_features(df), label=None))
+    chances = add(predicted, {"chances": vector_to_array("probability")})
+
+    def chance(label: int):
+        return F.coalesce(F.get("chances", F.lit(label)), F.lit(0.0))
+
+    scored = add(chances, {"predicted_fraud": flag(chance(1) > chance(0)), "fraud_probability": chance(1)})
+    scored = add(scored.drop("features", "probability", "chances"), {"fraud_score": F.col("fraud_probability") * 100})
     return add(scored, {"risk_level": risk_level()})
 
 

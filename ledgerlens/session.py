@@ -17,6 +17,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM never compiles a method above 8000 bytes of code. A stage fused
+    # into a larger one would be interpreted; unfused it is several times faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # For streams with state of many users or ids: keep it in RocksDB on the
@@ -32,7 +35,7 @@ _local_roots: dict[str, str] = {}
 
 
 def pin_session(spark: SparkSession) -> SparkSession:
-    """Set the runtime options the operators rely on (UTC, adaptive execution)."""
+    """Set the runtime options the operators rely on."""
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, "") != value:
             spark.conf.set(key, value)

@@ -8,8 +8,10 @@ import numpy as np
 import pytest
 from data import BASE, as_rows, row, table
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.features import assemble, model_features
 from ledgerlens.functions.rules import risk_level
 from ledgerlens.operators import investigation, model, monitoring
 from ledgerlens.operators.quantiles import QUARTILES, box_stats, exact_box, running_totals
@@ -217,6 +219,10 @@ def test_model_scores(spark, tx, forest, tmp_path):
         | ((F.col("fraud_probability") > 0.5) != (F.col("predicted_fraud") == 1))
     )
     assert bad.isEmpty()
+    own = forest.transform(assemble(model_features(tx), label=None))
+    own = own.select("transaction_id", F.col("prediction").cast("int"), F.get(vector_to_array("probability"), F.lit(1)))
+    ours = scored.select("transaction_id", "predicted_fraud", "fraud_probability")
+    assert sorted(map(tuple, own.collect())) == sorted(map(tuple, ours.collect()))
     model.save_model(forest, str(tmp_path / "m"))
     model.save_model(forest, str(tmp_path / "m"))  # saving again overwrites
     again = score_model(tx, model.load_model(str(tmp_path / "m")))
