@@ -9,8 +9,11 @@ import uuid
 from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-# Runtime settings every operator relies on. They can be set on a session that
-# somebody else built, so `pin_session` works on a cluster's session as well.
+# What right answers need: timestamps are read and cut in UTC.
+PINNED_CONF = {"spark.sql.session.timeZone": "UTC"}
+
+# Settings of a session that is built here. A session that somebody else built
+# keeps its own.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -35,9 +38,9 @@ _local_roots: dict[str, str] = {}
 
 
 def pin_session(spark: SparkSession) -> SparkSession:
-    """Set the runtime options the operators rely on."""
-    for key, value in RUNTIME_CONF.items():
-        if spark.conf.get(key, "") != value:
+    """Set the options that results depend on, and no others, on any session."""
+    for key, value in PINNED_CONF.items():
+        if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
 
