@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import ann, bpe, langid, mixing, suffix_rules, templates, units, warc
+from ledgerlens.llm import ann, bpe, langid, mixing, parity_join, suffix_rules, templates, units, warc
 from ledgerlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,12 @@ def op1_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@registered
+def op2_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = parity_join.component_ids(table(spark, sf_dir, "documents"), size=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id", "class_id")
+
+
 @registered
 def op3_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_rules.quality(table(spark, sf_dir, "documents"), ["doc_id"])
