@@ -22,9 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """The words of a text as UTF-8; bytes.split() cuts at exactly the ASCII white space."""
-    return text.encode("utf-8", "surrogatepass").split() if text else []
+def words_of(text: str | None, lower: bool = False) -> list[bytes]:
+    """The words of a text as UTF-8; bytes.split() cuts at exactly the ASCII white space, lower() changes A-Z only."""
+    data = text.encode("utf-8", "surrogatepass") if text else b""
+    return data.lower().split() if lower else data.split()
 
 
 def word_count(text: str) -> Column:

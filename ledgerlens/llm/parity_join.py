@@ -60,7 +60,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text, letters A-Z lower-cased."""
-    split = [[w.lower() for w in words_of(t)] for t in texts]
+    split = [words_of(t, lower=True) for t in texts]
     vocabulary = {w: i for i, w in enumerate(set().union(*split))}
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, vocabulary), dtype=np.uint64, count=len(vocabulary))
     sets = []

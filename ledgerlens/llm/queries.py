@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import ann, bpe, langid, mixing, parity_join, suffix_rules, templates, units, warc
+from ledgerlens.llm import ann, bpe, langid, lm, mixing, parity_join, suffix_rules, templates, units, warc
 from ledgerlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,11 @@ def op3_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_rules.quality(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+@registered
+def op4_elias_fano_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.fit_and_score(table(spark, sf_dir, "documents"))
+
+
 @registered
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), BPE_RANKS)
