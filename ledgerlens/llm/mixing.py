@@ -113,7 +113,8 @@ def mix_slots(targets: DataFrame, seed: int = 0, block_words: int = BLOCK_WORDS,
         quota.withColumn("shards", shards)
         .filter("slots > 0")
         .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / CHUNK))))
-        .repartition("skey", "chunk")
+        # A stated number: by their size alone, Spark would put all chunks into one task.
+        .repartition(int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "skey", "chunk")
     )
     first = F.col("chunk") * CHUNK
     slots = chunks.withColumn("slot", F.explode(F.sequence(first, F.least(first + CHUNK, F.col("slots")) - 1)))
@@ -138,7 +139,8 @@ def document_blocks(sized: DataFrame, block_words: int = BLOCK_WORDS) -> DataFra
 
 def mix_pieces(sized: DataFrame, targets: DataFrame, seed: int = 0, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The mix: (shard, skey, slot, epoch, block, offset, start, words), a row per document part of each slot."""
-    return mix_slots(targets, seed, block_words).join(document_blocks(sized, block_words), ["skey", "block"])
+    # Slots come from a few small rows but are as many as the blocks: never broadcast them.
+    return mix_slots(targets, seed, block_words).hint("merge").join(document_blocks(sized, block_words), ["skey", "block"])
 
 
 def mix_report(docs: DataFrame, seed: int = 0, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -148,7 +150,7 @@ def mix_report(docs: DataFrame, seed: int = 0, block_words: int = BLOCK_WORDS) -
     taken = mix_pieces(sized, targets, seed, block_words).groupBy("skey", "offset").agg(F.sum("words").alias("taken"))
     taken = taken.withColumnsRenamed({"skey": "taken_key", "offset": "taken_at"})
     at = F.expr("skey = taken_key AND offset = taken_at AND size > 0")
-    return sized.join(targets, "skey").join(taken, at, "left").select(
+    return sized.join(targets, "skey").join(taken.hint("merge"), at, "left").select(
         "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")
     )
 
