@@ -19,24 +19,31 @@ of recurring templates are dropped from every document.
 All counts are sums by hash that are combined before the shuffle; no leaf or
 template is gathered in a task. Templates are joined back by hash.
 
-Defined cases: a null text stays null, an empty one empty; blank lines are never
+Defined cases: a null text stays null, an empty one empty; lines of fewer
+than ``MIN_TOKENS`` tokens, which unrelated texts share by chance, are never
 dropped; rows that agree in doc_id and text count once and are treated alike.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import DOCUMENT_COLUMNS, stored
+from ledgerlens.llm.common import DOCUMENT_COLUMNS, map_frames, small_frames, stored
 
 DEPTH = 3
 SIMILARITY = 0.7
 MIN_DOCS = 5
-FIELD = "<*>"
-# Anchored at the token's start, so that long tokens are scanned once.
-VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
-SPACE = r"[\x20\x09-\x0D]+"
+MIN_TOKENS = 3
+FIELD = b"<*>"
+DIGIT = re.compile(rb"[0-9]")
+LARGEST = (1 << 63) - 1
+ODD = 0x9E3779B97F4A7C15
 
 
 def document_keys() -> list[Column]:
@@ -44,17 +51,36 @@ def document_keys() -> list[Column]:
 
 
 def parsed_lines(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(k1, k2, origin, line, masked, tokens, leaf, form): the lines with a token of each distinct (doc_id, text)."""
-    masked = F.split(F.regexp_replace("text", VARIABLE, FIELD), "\n")
-    lines = docs.filter("text IS NOT NULL").select(*document_keys(), masked.alias("lines"))
-    clean = F.transform("lines", lambda x: F.trim(F.regexp_replace(x, SPACE, " ")))
-    origin = F.array_min(F.transform("lines", lambda x: F.xxhash64(F.lit("origin"), x)))
-    exploded = lines.withColumn("lines", clean).select("k1", "k2", origin.alias("origin"), F.posexplode("lines").alias("line", "masked"))
-    n = F.length("masked") - F.length(F.translate("masked", " ", "")) + 1
-    head = F.substring_index("masked", " ", depth)
-    return exploded.filter("masked <> ''").select(
-        "k1", "k2", "origin", "line", "masked", F.xxhash64(n, head).alias("leaf"), F.xxhash64("masked").alias("form")
-    )
+    """(k1, k2, origin, line, masked, leaf, form): the lines of enough tokens of every document."""
+    source = docs.filter("text IS NOT NULL").select(*document_keys(), F.col("text").alias("t"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in small_frames(frames, "t", limit=2_000_000):
+            rows = []
+            for k1, k2, text in zip(frame["k1"].tolist(), frame["k2"].tolist(), frame["t"]):
+                parsed, origin = [], LARGEST
+                for number, line in enumerate(text.encode("utf-8", "surrogatepass").split(b"\n")):
+                    tokens = line.split()
+                    if len(tokens) < MIN_TOKENS:
+                        continue
+                    if DIGIT.search(line):
+                        tokens = [FIELD if DIGIT.search(token) else token for token in tokens]
+                    masked = b" ".join(tokens)
+                    form = xxhash.xxh3_64_intdigest(masked) - LARGEST - 1
+                    origin = min(origin, form * ODD & LARGEST)
+                    leaf = xxhash.xxh3_64_intdigest(b"%d %b" % (len(tokens), b" ".join(tokens[:depth]))) - LARGEST - 1
+                    parsed.append((number, masked, leaf, form))
+                rows += [(k1, k2, origin, *line) for line in parsed]
+            out = pd.DataFrame(rows, columns=["k1", "k2", "origin", "line", "masked", "leaf", "form"])
+            out["masked"] = [m.decode("utf-8", "surrogatepass") for m in out["masked"]]
+            yield out
+
+    return map_frames(source, run, "k1 long, k2 int, origin long, line int, masked string, leaf long, form long")
+
+
+def within_broadcast(small: DataFrame, limit: int = 1_000_000) -> DataFrame:
+    """A stored list of hashes, sent to all tasks if it has at most ``limit`` rows (8 MB), else shuffled."""
+    return F.broadcast(small) if small.count() <= limit else small
 
 
 def recurring(lines: DataFrame, key: str, min_docs: int) -> DataFrame:
@@ -79,12 +105,13 @@ def majority_templates(lines: DataFrame) -> DataFrame:
 
 def line_templates(lines: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(rows of ``lines`` to drop as k1, k2, line; the templates found)."""
-    forms = stored(recurring(lines, "form", min_docs), "templates-forms")
+    forms = within_broadcast(stored(recurring(lines, "form", min_docs), "templates-forms"))
     dropped = [lines.join(forms, "form", "left_semi").select("k1", "k2", "line")]
     named = [lines.join(forms, "form", "left_semi").groupBy("form").agg(F.min("masked").alias("template")).select("template")]
-    rest = lines.join(forms, "form", "left_anti")
-    leaves = recurring(rest, "leaf", min_docs)
-    rest = stored(rest.join(leaves, "leaf", "left_semi"), "templates-rest")
+    # Hashes first: only lines of leaves that recur need their tokens.
+    leaves = recurring(lines.drop("masked").join(forms, "form", "left_anti"), "leaf", min_docs)
+    leaves = within_broadcast(stored(leaves, "templates-leaves"))
+    rest = stored(lines.join(leaves, "leaf", "left_semi").join(forms, "form", "left_anti"), "templates-rest")
     while rest.head(1):
         templates = majority_templates(rest)
         tokens = F.split("masked", " ")
@@ -96,7 +123,7 @@ def line_templates(lines: DataFrame, min_docs: int = MIN_DOCS, similarity: float
         found = stored(recurring(matched, "leaf", min_docs), "templates-found")
         hits = matched.join(found, "leaf", "left_semi")
         dropped.append(hits.select("k1", "k2", "line"))
-        shown = F.array_join("template", " ", FIELD)
+        shown = F.array_join("template", " ", FIELD.decode())
         named.append(hits.groupBy("leaf").agg(F.min(shown).alias("template")).select("template"))
         gone = hits.select("k1", "k2", "line")
         rest = rest.join(found, "leaf", "left_semi").join(gone, ["k1", "k2", "line"], "left_anti")
