@@ -43,8 +43,8 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import crc32_remainder, map_frames, ship, small_frames, stored, words_of
 from ledgerlens.llm.elias_fano import Trie
 
-SHARD_TOKENS = 3_000_000
-CHUNK_CHARACTERS = 16_000_000
+SHARD_TOKENS = 2_000_000
+CHUNK_CHARACTERS = 8_000_000
 MIN_COUNT = 2
 DISCOUNT = 0.75
 # Neither can be a word, as both hold a space.
