@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,12 +74,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def text_lengths(texts: pd.Series) -> np.ndarray:
+    return np.fromiter((len(t) if t else 0 for t in texts), dtype=np.int64, count=len(texts))
+
+
 def small_frames(frames: Iterator[pd.DataFrame], text: str, limit: int = 4_000_000) -> Iterator[pd.DataFrame]:
     """Cut Arrow batches into frames of about ``limit`` characters (one row at least)."""
     for frame in frames:
         if not len(frame):
             continue
-        sizes = frame[text].str.len().fillna(0).to_numpy(dtype="int64")
+        sizes = text_lengths(frame[text])
         piece = (sizes.cumsum() - sizes) // limit
         start = 0
         for end in [*((piece[1:] != piece[:-1]).nonzero()[0] + 1), len(frame)]:

@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import crc32_remainder, map_frames, ship, small_frames, stored, words_of
+from ledgerlens.llm.common import crc32_remainder, map_frames, ship, small_frames, stored, text_lengths, words_of
 from ledgerlens.llm.elias_fano import Trie
 
 SHARD_TOKENS = 2_000_000
@@ -93,7 +93,7 @@ def chunks_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held, size = [], 0
     for frame in small_frames(frames, "t", limit=CHUNK_CHARACTERS // 4):
         held.append(frame)
-        size += int(frame["t"].str.len().fillna(0).sum()) + len(frame)
+        size += int(text_lengths(frame["t"]).sum()) + len(frame)
         if size >= CHUNK_CHARACTERS:
             yield pd.concat(held, ignore_index=True)
             held, size = [], 0

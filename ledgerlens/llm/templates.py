@@ -71,6 +71,8 @@ def parsed_lines(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                     leaf = xxhash.xxh3_64_intdigest(b"%d %b" % (len(tokens), b" ".join(tokens[:depth]))) - LARGEST - 1
                     parsed.append((number, masked, leaf, form))
                 rows += [(k1, k2, origin, *line) for line in parsed]
+            if not rows:
+                continue
             out = pd.DataFrame(rows, columns=["k1", "k2", "origin", "line", "masked", "leaf", "form"])
             out["masked"] = [m.decode("utf-8", "surrogatepass") for m in out["masked"]]
             yield out

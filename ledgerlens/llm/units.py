@@ -75,6 +75,8 @@ def unit_table(docs: DataFrame, unit_words: int = UNIT_WORDS) -> DataFrame:
                     rows.append(unit)
                     again.append(unit[4] in seen)
                     seen.add(unit[4])
+            if not rows:
+                continue
             digests = np.frombuffer(b"".join(r[4] for r in rows), dtype="<i8").reshape(-1, 2)
             places = np.array([r[:4] for r in rows], dtype=np.int32).reshape(-1, 4)
             yield pd.DataFrame(
