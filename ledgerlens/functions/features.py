@@ -100,12 +100,13 @@ def model_features(df: DataFrame) -> DataFrame:
     )
 
 
-def assemble(df: DataFrame, label: str | None = "is_fraud", invalid: str = "skip") -> DataFrame:
+def assemble(df: DataFrame, label: str | None = "is_fraud") -> DataFrame:
     """Add the model vector; with ``label`` keep only (features, label).
 
-    Rows with a null feature are skipped: they belong in the quarantine, and
-    the assembler's default would stop a stream at the first one.
+    For training (with ``label``) rows with a null feature are skipped. Without
+    it every row stays and a null feature is NaN in the vector.
     """
+    invalid = "keep" if label is None else "skip"
     vectors = VectorAssembler(inputCols=MODEL_FEATURES, outputCol="features", handleInvalid=invalid).transform(df)
     if label is None:
         return vectors

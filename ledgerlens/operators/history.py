@@ -149,9 +149,11 @@ def user_window_features(df: DataFrame, duration: str = "1 hour") -> DataFrame:
 
     The statistics are reduced map-side before they are shuffled. A join brings
     them back rather than a window function, because a join on an overlarge
-    (user, window) is divided at run time and a window partition is not.
+    (user, window) is divided at run time and a window partition is not. Rows
+    without a time lie in no window; they stay, with a null start.
     """
     stats = user_window_stats(df, duration)
     keyed = df.withColumn("window_start", F.window("timestamp", duration).getField("start"))
     joined = keyed.join(stats, ["user_id", "window_start"], "left")
+    joined = joined.unionByName(df.filter(F.col("timestamp").isNull()), allowMissingColumns=True)
     return joined.fillna(0, subset=[c for c in stats.columns if c.endswith("amount_window") or c.startswith("txn")])

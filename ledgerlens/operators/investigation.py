@@ -45,21 +45,25 @@ def fraud_points(df: DataFrame, fraud_col: str | None = None) -> DataFrame:
 NORMAL_MARK, FRAUD_MARK = (30, 6.0, 20.0), (25, 10.0, 25.0)
 
 
-def user_sequences(df: DataFrame, users: int = 8, fraud_col: str | None = None) -> DataFrame:
-    """All transactions of the users with most frauds, with lane and marker size.
+def user_sequences(df: DataFrame, users: int | None = None, fraud_col: str | None = None) -> DataFrame:
+    """All transactions of every user with a fraud, with marker size.
 
-    The list of users is limited to ``users`` rows, so it is broadcast and
-    numbered in one small window.
+    With ``users``, a limit for charts, only of the users with most frauds. They
+    are numbered (``lane``) in one small window and broadcast; without it there
+    are no lanes and ``lane`` is null.
     """
-    top = top_by_frauds(df, "user_id", users, fraud_col)
-    lane = F.row_number().over(Window.orderBy(F.desc("frauds"), "user_id")) - 1
-    lanes = top.select("user_id", lane.alias("lane"))
+    if users is None:
+        lanes = frauds(df, fraud_col).select("user_id", F.lit(None).cast("int").alias("lane")).distinct()
+    else:
+        top = top_by_frauds(df, "user_id", users, fraud_col)
+        lane = F.row_number().over(Window.orderBy(F.desc("frauds"), "user_id")) - 1
+        lanes = F.broadcast(top.select("user_id", lane.alias("lane")))
 
     def size(divisor: float, low: float, high: float):
         return F.least(F.lit(high), F.greatest(F.lit(low), F.col("amount") / divisor))
 
     mark = F.when(is_alert(df, fraud_col), size(*FRAUD_MARK)).otherwise(size(*NORMAL_MARK))
-    return df.join(F.broadcast(lanes), "user_id").select(
+    return df.join(lanes, "user_id").select(
         "user_id",
         "lane",
         "transaction_id",
@@ -72,31 +76,31 @@ def user_sequences(df: DataFrame, users: int = 8, fraud_col: str | None = None)
 
 def fraud_edges(
     df: DataFrame,
-    users: int = 10,
-    merchants: int = 8,
-    more_than: int = 5,
+    users: int | None = None,
+    merchants: int | None = None,
+    more_than: int = 0,
     fraud_col: str | None = None,
 ) -> DataFrame:
-    """Weighted edges between the leading fraud users and fraud merchants.
+    """Weighted edges between fraud users and fraud merchants, all of them by default.
 
-    Empty unless there are more than ``more_than`` frauds. Both rankings and
-    the total are sums over the frauds per (user, merchant), so the table is
-    read once. The two key lists are limited and broadcast. Ids are kept whole
-    so that nodes stay distinct.
+    ``users`` and ``merchants`` limit a chart to the leading ones, and
+    ``more_than`` leaves it empty for too few frauds. Rankings and the total are
+    sums over the frauds per (user, merchant). The limited key lists are
+    broadcast. Ids are kept whole so that nodes stay distinct.
     """
     pairs = frauds(df, fraud_col).groupBy("user_id", "merchant_id").agg(count_rows().alias("weight"))
+    if users is None and merchants is None and more_than == 0:
+        return pairs
 
     def leading(key: str, limit: int) -> DataFrame:
         ranked = pairs.groupBy(key).agg(F.sum("weight").alias("frauds"))
         return F.broadcast(ranked.orderBy(F.desc("frauds"), key).limit(limit).select(key))
 
     total = pairs.agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("n")).scalar()
-    return (
-        pairs.join(leading("user_id", users), "user_id", "left_semi")
-        .join(leading("merchant_id", merchants), "merchant_id", "left_semi")
-        .filter(total > more_than)
-        .select("user_id", "merchant_id", "weight")
-    )
+    kept = pairs
+    for key, limit in (("user_id", users), ("merchant_id", merchants)):
+        kept = kept if limit is None else kept.join(leading(key, limit), key, "left_semi")
+    return kept.filter(total > more_than).select("user_id", "merchant_id", "weight")
 
 
 def node_degrees(edges: DataFrame) -> DataFrame:

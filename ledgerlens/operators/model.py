@@ -6,13 +6,12 @@ from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.features import assemble, model_features
 from ledgerlens.operators.quantiles import running_totals
 from ledgerlens.schema import MODEL_FEATURES
-from ledgerlens.sources.tables import scan_partitions
 
 # --- Fixed values: the two published parameter sets ---------------------------
 SCRIPT_PARAMS = {"numTrees": 100, "maxDepth": 10, "featureSubsetStrategy": "auto", "subsamplingRate": 1.0}
@@ -27,8 +26,8 @@ def in_train(fraction: float = 0.8) -> Column:
     Decided by a hash of the id, so the split does not depend on how the table
     is partitioned and a lost task repeats it identically.
     """
-    limit = f"{int(fraction * 65536):04x}"
-    return F.substring(F.md5("transaction_id"), 1, 4) < limit
+    prefix = F.conv(F.substring(F.md5("transaction_id"), 1, 4), 16, 10).cast("long")
+    return prefix < int(fraction * 65536)
 
 
 def split(
@@ -42,17 +41,16 @@ def split(
     return df.filter(chosen), df.filter(~chosen)
 
 
-def train_forest(train: DataFrame, seed: int = SEED, **params) -> RandomForestClassificationModel:
+def train_forest(train: DataFrame, seed: int = SEED, pieces: int = 64, **params) -> RandomForestClassificationModel:
     """Fit a forest on transactions; the vectors are kept while it iterates.
 
-    Training passes over the vectors many times. A table of fewer pieces than
-    there are cores (a small one) is spread first; a large one stays as it is.
+    The forest draws its samples per piece, so rows are dealt to ``pieces`` by
+    their id and sorted there: the model then depends on the rows and this
+    number alone, not on cores or on how the table is stored. Rows without a
+    feature are left out of the training.
     """
-    vectors = assemble(model_features(train))
-    cores = vectors.sparkSession.sparkContext.defaultParallelism
-    if scan_partitions(vectors) < cores:
-        vectors = vectors.repartition(cores)
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    dealt = train.repartition(pieces, "transaction_id").sortWithinPartitions("transaction_id")
+    vectors = assemble(model_features(dealt)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return RandomForestClassifier(
             featuresCol="features", labelCol="label", maxBins=MAX_BINS, seed=seed, **{**SCRIPT_PARAMS, **params}
@@ -164,7 +162,7 @@ def feature_importance(spark: SparkSession, model: RandomForestClassificationMod
 def label_distribution(df: DataFrame, label: str = "is_fraud") -> DataFrame:
     """Rows and share in percent per label."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("transactions"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    total = F.sum("transactions").over(Window.partitionBy())  # over one row per label
     return counts.withColumn("share_pct", F.try_divide(F.col("transactions") * 100.0, total))
 
 

@@ -14,7 +14,7 @@ from ledgerlens.functions.features import add, assemble, flag, model_features, r
 from ledgerlens.functions.rules import BEHAVIOUR_RULES, apply_rules, confusion_flags, risk_level
 from ledgerlens.operators.history import behaviour_features
 from ledgerlens.operators.slices import DEFAULT_POLICY, HotPolicy
-from ledgerlens.schema import BEHAVIOUR_OUTPUT, MODEL_OUTPUT, RULE_OUTPUT
+from ledgerlens.schema import BEHAVIOUR_OUTPUT, MODEL_FEATURES, MODEL_OUTPUT, RULE_OUTPUT
 
 
 def score_rules(df: DataFrame) -> DataFrame:
@@ -37,7 +37,8 @@ def score_model(df: DataFrame, model: RandomForestClassificationModel) -> DataFr
 
     The class is the likelier one, read off the probabilities. A probability of
     exactly one half is not a fraud to the forest although its score of 50 is
-    in the MEDIUM band.
+    in the MEDIUM band. A row that lacks a feature cannot be scored: it stays,
+    with probability 0.
     """
     predicted = _probability_only(model).transform(assemble(model_features(df), label=None))
     chances = add(predicted, {"chances": vector_to_array("probability")})
@@ -45,7 +46,16 @@ def score_model(df: DataFrame, model: RandomForestClassificationModel) -> DataFr
     def chance(label: int):
         return F.coalesce(F.get("chances", F.lit(label)), F.lit(0.0))
 
-    scored = add(chances, {"predicted_fraud": flag(chance(1) > chance(0)), "fraud_probability": chance(1)})
+    whole = F.lit(True)
+    for feature in MODEL_FEATURES:
+        whole = whole & F.col(feature).isNotNull()
+    scored = add(
+        chances,
+        {
+            "predicted_fraud": flag(whole & (chance(1) > chance(0))),
+            "fraud_probability": F.when(whole, chance(1)).otherwise(0.0),
+        },
+    )
     scored = add(scored.drop("features", "probability", "chances"), {"fraud_score": F.col("fraud_probability") * 100})
     return add(scored, {"risk_level": risk_level()})
 

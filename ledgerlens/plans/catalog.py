@@ -297,8 +297,10 @@ on_scored("top_suspicious", investigation.top_suspicious)
 on_scored("top_fraud_users", investigation.top_fraud_users)
 on_scored("fraud_points", investigation.fraud_points)
 on_scored("user_sequences", investigation.user_sequences, marker_size=9)
+on_scored("user_sequences_chart", lambda df: investigation.user_sequences(df, users=8), marker_size=9)
 on_scored("fraud_edges", investigation.fraud_edges)
 on_scored("fraud_node_degree", lambda df: investigation.node_degrees(investigation.fraud_edges(df)))
+on_scored("fraud_edges_chart", lambda df: investigation.fraud_edges(df, users=10, merchants=8, more_than=5))
 on_scored("geo_anomalies", investigation.geo_anomalies, distance_km=6, speed_kmh=6)
 on_scored("api_extract", _page)
 

@@ -173,11 +173,11 @@ sql("sql_view_scan", SCORED, RULE_OUTPUT + " WHERE predicted_fraud = 1")
 sql("literal_fixture", SCORED, """
 SELECT transaction_id, "timestamp", amount, fraud_score, risk_level FROM scored
 UNION ALL VALUES
-  ('TXN001', TIMESTAMP '2024-12-03 14:30:00', 150e0, 0e0, 'SAFE'),
-  ('TXN002', TIMESTAMP '2024-12-03 03:15:00', 1500e0, 110e0, 'HIGH'),
-  ('TXN003', TIMESTAMP '2024-12-03 18:45:00', 50e0, 0e0, 'SAFE'),
-  ('TXN004', TIMESTAMP '2024-12-03 02:30:00', 2000e0, 110e0, 'HIGH'),
-  ('TXN005', TIMESTAMP '2024-12-03 12:00:00', 75.5e0, 0e0, 'SAFE')""")
+  ('SAMPLE_01', TIMESTAMP '2024-05-06 10:20:00', 18.4e0, 0e0, 'SAFE'),
+  ('SAMPLE_02', TIMESTAMP '2024-05-06 03:40:00', 1700e0, 110e0, 'HIGH'),
+  ('SAMPLE_03', TIMESTAMP '2024-05-07 19:05:00', 64.75e0, 0e0, 'SAFE'),
+  ('SAMPLE_04', TIMESTAMP '2024-05-08 02:15:00', 2400e0, 110e0, 'HIGH'),
+  ('SAMPLE_05', TIMESTAMP '2024-05-09 13:45:00', 88.2e0, 0e0, 'SAFE')""")
 sql("encode_messages", TX, """
 SELECT user_id AS key, transaction_id, strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') AS time_text, amount,
   merchant_category, CASE WHEN is_online THEN 'true' ELSE 'false' END AS is_online_text, is_fraud
@@ -418,11 +418,19 @@ merchants AS (SELECT merchant_id, count(*) AS frauds FROM bad GROUP BY 1)"""
 sql("top_fraud_users", TOP, "SELECT user_id, frauds FROM users ORDER BY frauds DESC, user_id LIMIT 10")
 sql("fraud_points", TOP, "SELECT transaction_id, location_lat, location_lon, amount, fraud_score FROM bad")
 sql("user_sequences", TOP, """
+SELECT user_id, CAST(NULL AS INTEGER) AS lane, transaction_id, "timestamp", amount, predicted_fraud AS "class",
+  round(CASE WHEN predicted_fraud = 1 THEN least(25e0, greatest(10e0, amount / 25))
+    ELSE least(20e0, greatest(6e0, amount / 30)) END, 9) AS marker_size
+FROM scored WHERE user_id IN (SELECT user_id FROM users)""")
+sql("user_sequences_chart", TOP, """
 SELECT user_id, lane, transaction_id, "timestamp", amount, predicted_fraud AS "class",
   round(CASE WHEN predicted_fraud = 1 THEN least(25e0, greatest(10e0, amount / 25))
     ELSE least(20e0, greatest(6e0, amount / 30)) END, 9) AS marker_size
 FROM scored JOIN (SELECT user_id, CAST(row_number() OVER (ORDER BY frauds DESC, user_id) - 1 AS INTEGER) AS lane
                   FROM users ORDER BY frauds DESC, user_id LIMIT 8) l USING (user_id)""")
+sql("fraud_edges", TOP, "SELECT user_id, merchant_id, count(*) AS weight FROM bad GROUP BY 1, 2")
+ALL_EDGES = TOP + """,
+edges AS (SELECT user_id, merchant_id, count(*) AS weight FROM bad GROUP BY 1, 2)"""
 EDGES = TOP + """,
 edges AS (
   SELECT user_id, merchant_id, count(*) AS weight FROM bad
@@ -431,8 +439,8 @@ edges AS (
     AND (SELECT count(*) FROM bad) > 5
   GROUP BY 1, 2
 )"""
-sql("fraud_edges", EDGES, "SELECT * FROM edges")
-sql("fraud_node_degree", EDGES, """
+sql("fraud_edges_chart", EDGES, "SELECT * FROM edges")
+sql("fraud_node_degree", ALL_EDGES, """
 SELECT 'user' AS kind, user_id AS node, count(*) AS degree, CAST(sum(weight) AS BIGINT) AS weighted_degree
 FROM edges GROUP BY user_id
 UNION ALL SELECT 'merchant', merchant_id, count(*), CAST(sum(weight) AS BIGINT) FROM edges GROUP BY merchant_id""")

@@ -160,8 +160,9 @@ def test_heatmap_is_dense(spark):
 
 def test_edges_need_more_than_five_frauds(spark):
     rows = [row(i, f"U{i % 2}", i, merchant_id=f"MERCHANT_100{i % 3}", is_fraud=1) for i in range(5)]
-    assert investigation.fraud_edges(table(spark, rows)).count() == 0
+    assert investigation.fraud_edges(table(spark, rows), more_than=5).count() == 0
     rows.append(row(9, "U1", 9, merchant_id="MERCHANT_1000", is_fraud=1))
+    assert investigation.fraud_edges(table(spark, rows), users=10, merchants=8, more_than=5).count() > 0
     edges = investigation.fraud_edges(table(spark, rows))
     assert edges.agg(F.sum("weight")).first()[0] == 6
     degrees = investigation.node_degrees(edges)

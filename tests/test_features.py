@@ -87,11 +87,11 @@ def test_feature_lists():
 def test_literal_rows_score_as_computed_by_hand(spark):
     scored = scoring.score_rules(from_rows(spark, LITERAL_ROWS)).orderBy("transaction_id")
     assert [tuple(r) for r in scored.select("transaction_id", "fraud_score", "risk_level").collect()] == [
-        ("TXN001", 0.0, "SAFE"),
-        ("TXN002", 110.0, "HIGH"),
-        ("TXN003", 0.0, "SAFE"),
-        ("TXN004", 110.0, "HIGH"),
-        ("TXN005", 0.0, "SAFE"),
+        ("SAMPLE_01", 0.0, "SAFE"),
+        ("SAMPLE_02", 110.0, "HIGH"),
+        ("SAMPLE_03", 0.0, "SAFE"),
+        ("SAMPLE_04", 110.0, "HIGH"),
+        ("SAMPLE_05", 0.0, "SAFE"),
     ]
 
 

@@ -75,8 +75,8 @@ def test_columns_and_filters_reach_the_scan(stored):
 def test_small_sides_are_broadcast(stored):
     assert "BroadcastHashJoin" in plan(enrich_merchant(stored)) and exchanges(enrich_merchant(stored)) == 0
     scored = stored.withColumn("fraud_score", F.lit(1.0))
-    assert "SortMergeJoin" not in plan(investigation.user_sequences(scored))
-    assert "SortMergeJoin" not in plan(investigation.fraud_edges(scored))
+    assert "SortMergeJoin" not in plan(investigation.user_sequences(scored, users=8))
+    assert "SortMergeJoin" not in plan(investigation.fraud_edges(scored, users=10, merchants=8))
 
 
 def test_metrics_run_as_one_aggregate(stored):
