@@ -154,19 +154,24 @@ def with_revisits(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataF
     last = F.lit((1 << 63) - 1)
     large = rows.filter(F.col("payload_bytes") >= revisit_bytes).withColumn("rank", F.coalesce("page_id", last))
     firsts = large.groupBy("digest").agg(F.min("rank").alias("rank"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    # The first row of a digest by (page id, url): few rows share digest and smallest id.
-    urls = large.join(firsts, ["digest", "rank"]).groupBy("digest", "rank").agg(F.min(F.coalesce("url", F.lit(""))).alias("first_url"))
-    ties = Window.partitionBy("digest", "url").orderBy(F.lit(1))
+    # The first row of a digest by (page id, url), and how many rows agree with it in all three.
+    narrow = large.join(firsts, ["digest", "rank"]).groupBy("digest", "rank", F.coalesce("url", F.lit("")).alias("u"))
+    urls = narrow.agg(F.count(F.lit(1)).alias("copies")).groupBy("digest", "rank").agg(F.min(F.struct("u", "copies")).alias("first"))
+    urls = stored(urls.select("digest", "rank", F.col("first.u").alias("first_url"), F.col("first.copies").alias("copies")), "warc-firsts")
     joined = rows.join(urls, "digest", "left")
-    first = F.col("rank").isNotNull() & (F.coalesce("page_id", last) == F.col("rank")) & (F.coalesce("url", F.lit("")) == F.col("first_url"))
-    # Rows that agree in all three: one of them is the response.
-    leaders = joined.filter(first).withColumn("tie", F.row_number().over(ties))
-    others = joined.filter(F.col("rank").isNull() | ~first).withColumn("tie", F.when(F.col("rank").isNull(), 1).otherwise(2))
-    revisit = F.col("rank").isNotNull() & (F.col("tie") > 1)
-    return leaders.unionByName(others).select(
+    first = (F.coalesce("page_id", last) == F.col("rank")) & (F.coalesce("url", F.lit("")) == F.col("first_url"))
+    repeated = F.col("rank").isNotNull()
+    if urls.filter("copies > 1").head(1):
+        # Repeated rows: one of them is the response. Payloads are moved a second time only for this.
+        ties = Window.partitionBy("digest", "url").orderBy(F.lit(1))
+        leaders = joined.filter(repeated & first).withColumn("tie", F.row_number().over(ties))
+        joined = leaders.unionByName(joined.filter(~repeated | ~first).withColumn("tie", F.lit(2)))
+        first = F.col("tie") == 1
+    revisit = repeated & ~first
+    return joined.select(
         "page_id", "url", F.when(~revisit, F.col("payload")).alias("payload"), "payload_bytes", "digest",
         F.when(F.col("rank") != last, F.col("rank")).alias("first_id"), "first_url",
-        F.col("rank").isNotNull().alias("deduplicated"), revisit.alias("revisit"),
+        repeated.alias("deduplicated"), revisit.alias("revisit"),
     )
 
 
