@@ -222,7 +222,7 @@ def cells(members: DataFrame, cell: int = CELL) -> DataFrame:
     return dealt.withColumn("x", F.least("mine", "other")).withColumn("y", F.greatest("mine", "other")).drop("other")
 
 
-def remaining_pairs(buckets: DataFrame, members: DataFrame, roots: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+def remaining_pairs(members: DataFrame, roots: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs that share a bucket, lie in different components and whose sketches allow a link."""
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_keys = placed.groupBy("key", "band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n_members"))
@@ -277,15 +277,17 @@ def joined(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[D
         "parity-nodes",
     )
     sketches = nodes.select("node", "n", F.explode("bands").alias("s")).select("node", "n", "s.band", "s.words")
-    offered = stored(offers(sketches, percent), "parity-offers")
+    # The largest intermediate: dealt once by bucket, for the sums and for the join back.
+    pieces = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    offered = offers(sketches, percent).repartition(pieces, "key", "band")
     buckets = offered.groupBy("key", "band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
-    members = stored(offered.join(buckets, ["key", "band"]), "parity-members")
+    members = stored(offered.join(buckets.hint("merge"), ["key", "band"]), "parity-members")
     stars = members.select("node", "band", F.explode(F.array("lo", "hi")).alias("centre")).filter("node <> centre")
     pairs = stars.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"), "band").distinct()
     close = stored(close_pairs(pairs, sketches, percent), "parity-close")
     links = stored(linked_pairs(close, docs, nodes, size, percent), "parity-links")
     roots = stored(components(links), "parity-roots")
-    rest = stored(remaining_pairs(buckets, members.select("key", "node", "band"), roots, sketches, percent), "parity-rest")
+    rest = stored(remaining_pairs(members.select("key", "node", "band"), roots, sketches, percent), "parity-rest")
     rest = rest.join(close, ["a", "b"], "left_anti")
     if rest.head(1):
         more = stored(linked_pairs(rest, docs, nodes, size, percent), "parity-links")
