@@ -74,6 +74,31 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables that one call needs only until its result is written."""
+
+    def __init__(self) -> None:
+        self.kept: list[tuple[SparkSession, str]] = []
+
+    def stored(self, df: DataFrame, label: str) -> DataFrame:
+        path = work_dir(df.sparkSession, label)
+        self.kept.append((df.sparkSession, path))
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        """Delete the tables, through Hadoop's file system: the shared folder may be in any store."""
+        for spark, path in self.kept:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        self.kept.clear()
+
+
+def within_broadcast(small: DataFrame, limit: int = 1_000_000) -> DataFrame:
+    """A stored list of hashes, sent to all tasks if it has at most ``limit`` rows (16 MB), else shuffled."""
+    return F.broadcast(small) if small.count() <= limit else small
+
+
 def text_lengths(texts: pd.Series) -> np.ndarray:
     return np.fromiter((len(t) if t else 0 for t in texts), dtype=np.int64, count=len(texts))
 

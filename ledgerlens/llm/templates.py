@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import DOCUMENT_COLUMNS, map_frames, small_frames, stored
+from ledgerlens.llm.common import DOCUMENT_COLUMNS, Scratch, map_frames, small_frames, stored, within_broadcast
 
 DEPTH = 3
 SIMILARITY = 0.7
@@ -80,11 +80,6 @@ def parsed_lines(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     return map_frames(source, run, "k1 long, k2 int, origin long, line int, masked string, leaf long, form long")
 
 
-def within_broadcast(small: DataFrame, limit: int = 1_000_000) -> DataFrame:
-    """A stored list of hashes, sent to all tasks if it has at most ``limit`` rows (8 MB), else shuffled."""
-    return F.broadcast(small) if small.count() <= limit else small
-
-
 def recurring(lines: DataFrame, key: str, min_docs: int) -> DataFrame:
     """Values of ``key`` whose lines come from enough documents of different origin."""
     documents = lines.groupBy(key, "origin", "k1", "k2").agg(F.lit(1).alias("one"))
@@ -105,15 +100,17 @@ def majority_templates(lines: DataFrame) -> DataFrame:
     return best.groupBy("leaf").agg(template.alias("template"))
 
 
-def line_templates(lines: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+def line_templates(
+    lines: DataFrame, scratch: Scratch, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY
+) -> tuple[DataFrame, DataFrame]:
     """(rows of ``lines`` to drop as k1, k2, line; the templates found)."""
-    forms = within_broadcast(stored(recurring(lines, "form", min_docs), "templates-forms"))
+    forms = within_broadcast(scratch.stored(recurring(lines, "form", min_docs), "templates-forms"))
     dropped = [lines.join(forms, "form", "left_semi").select("k1", "k2", "line")]
     named = [lines.join(forms, "form", "left_semi").groupBy("form").agg(F.min("masked").alias("template")).select("template")]
     # Hashes first: only lines of leaves that recur need their tokens.
     leaves = recurring(lines.drop("masked").join(forms, "form", "left_anti"), "leaf", min_docs)
-    leaves = within_broadcast(stored(leaves, "templates-leaves"))
-    rest = stored(lines.join(leaves, "leaf", "left_semi").join(forms, "form", "left_anti"), "templates-rest")
+    leaves = within_broadcast(scratch.stored(leaves, "templates-leaves"))
+    rest = scratch.stored(lines.join(leaves, "leaf", "left_semi").join(forms, "form", "left_anti"), "templates-rest")
     while rest.head(1):
         templates = majority_templates(rest)
         tokens = F.split("masked", " ")
@@ -121,15 +118,15 @@ def line_templates(lines: DataFrame, min_docs: int = MIN_DOCS, similarity: float
             F.zip_with(tokens, "template", lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda total, x: total + x
         )
         near = rest.join(templates, "leaf").withColumn("near", same >= similarity * F.size(tokens))
-        matched = stored(near.filter("near"), "templates-matched")
-        found = stored(recurring(matched, "leaf", min_docs), "templates-found")
+        matched = scratch.stored(near.filter("near"), "templates-matched")
+        found = scratch.stored(recurring(matched, "leaf", min_docs), "templates-found")
         hits = matched.join(found, "leaf", "left_semi")
         dropped.append(hits.select("k1", "k2", "line"))
         shown = F.array_join("template", " ", FIELD.decode())
         named.append(hits.groupBy("leaf").agg(F.min(shown).alias("template")).select("template"))
         gone = hits.select("k1", "k2", "line")
         rest = rest.join(found, "leaf", "left_semi").join(gone, ["k1", "k2", "line"], "left_anti")
-        rest = stored(rest.join(recurring(rest, "leaf", min_docs), "leaf", "left_semi"), "templates-rest")
+        rest = scratch.stored(rest.join(recurring(rest, "leaf", min_docs), "leaf", "left_semi"), "templates-rest")
     rows, texts = dropped[0], named[0]
     for more, names in zip(dropped[1:], named[1:]):
         rows, texts = rows.unionByName(more), texts.unionByName(names)
@@ -138,9 +135,12 @@ def line_templates(lines: DataFrame, min_docs: int = MIN_DOCS, similarity: float
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY, depth: int = DEPTH) -> DataFrame:
     """(k1, k2, dropped): line numbers to drop of each document that has any."""
-    lines = stored(parsed_lines(docs, depth), "templates-lines")
-    rows, _ = line_templates(lines, min_docs, similarity)
-    return rows.groupBy("k1", "k2").agg(F.collect_list("line").alias("dropped"))
+    scratch = Scratch()
+    lines = scratch.stored(parsed_lines(docs, depth), "templates-lines")
+    rows, _ = line_templates(lines, scratch, min_docs, similarity)
+    dropped = stored(rows.groupBy("k1", "k2").agg(F.collect_list("line").alias("dropped")), "templates-dropped")
+    scratch.clear()
+    return dropped
 
 
 def drop_lines(docs: DataFrame, keep: list[str] = DOCUMENT_COLUMNS, **options) -> DataFrame:
