@@ -1,17 +1,20 @@
 """N-gram Jaccard join by parity sketches.
 
-A document is the set of its distinct shingles. Its sketch has one bit per hash
-position, flipped by every shingle that falls there, so the Hamming distance of
-two sketches is at most the size of the sets' symmetric difference. A pair
-links only if that size is at most ``(100 - p) / (100 + p) * (|A| + |B|)``.
+A document is the set of its distinct shingles. Shingles are dealt by hash to k
+words, and a word is the XOR of its shingles' hashes: every shingle in which two
+sets differ changes one word. Folded to 64 parity bits a word, the words make
+the sketch, whose Hamming distance is at most the size of the symmetric
+difference. A pair links only if that size is at most
+``(100 - p) / (100 + p) * (|A| + |B|)``.
 
 Documents are compared within size bands; one near the top of its band is also
-in the next. In a band with bound d the sketch has k > d + 1 words of 64 bits.
-Two linked documents differ in at most d words, so they agree in k - d. Each
-document offers the d + 1 words that come first in an order that depends on the
-words alone (most bits first); by the prefix argument two linked documents
-share an offered word. Words with few bits, which unrelated documents share by
-chance, are thus left out.
+in the next. In a band whose largest bound is d there are k > d + 1 words. A
+document of n shingles with partners of up to m in the band differs from any
+that links in at most e = (100 - p) / (100 + p) * (n + m) words, so they agree
+in k - e. It offers the e + 1 words that come first in an order that depends on
+the words alone (most shingles first); by the prefix argument two linked
+documents share an offered word. Unrelated documents share one only if they
+share all of its shingles.
 
 Texts with equal sets are one node. From each bucket of equal words the pairs
 with its smallest and largest node come first; they are tested by Hamming
@@ -21,6 +24,9 @@ bounded size, in which all such pairs are tested by Hamming distance, and what
 passes is tested exactly. So groups of copies never emit all their pairs, and no
 link between different components is lost.
 
+Tests get the compressed texts and make sets and sketches again: these would be
+several times as large. Texts move only for nodes that share a bucket.
+
 Defined cases: a text with fewer words than a shingle is its whole word
 sequence; null or wordless texts have an empty set and link with nothing; a null
 doc_id never becomes a component_id unless the component has no other; rows with
@@ -35,20 +41,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import map_frames, small_frames, stored, words_of
+from ledgerlens.llm.common import Scratch, map_frames, ship, small_frames, stored, within_broadcast, words_of
 from ledgerlens.llm.components import components
 
 SIZE = 5
 PERCENT = 80
-BAND_RATIO = 1.5
+BAND_RATIO = 2.0
 SPARE = 1.3
 CELL = 1024
 NO_ID = (1 << 63) - 1
-CELL_KEY = ["key", "band", "x", "y"]
+CELL_KEY = ["key", "x", "y"]
+BAND_SHIFT = np.uint64(56)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -107,107 +116,130 @@ def bands(n: int, percent: int) -> list[int]:
     return [b for b in found if bound(2 * band_top(b), percent) > 0]
 
 
+def n_words(band: int, percent: int) -> int:
+    return math.ceil(SPARE * (bound(2 * band_top(band), percent) + 1))
+
+
 def sketch(shingles: np.ndarray, band: int, percent: int) -> np.ndarray:
     """Parity words of 64 bits."""
-    k = math.ceil(SPARE * (bound(2 * band_top(band), percent) + 1))
+    k = n_words(band, percent)
     word = (shingles >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)
     flips = np.bincount((word * np.uint64(64) + (shingles & np.uint64(63))).astype(np.int64), minlength=64 * k)
     return np.packbits((flips & 1).astype(np.uint8), bitorder="little").view("<u8")
 
 
-def offered_words(words: np.ndarray, band: int, percent: int) -> np.ndarray:
-    """Bucket keys of the words that a document offers."""
-    place = np.arange(band << 32, (band << 32) + len(words), dtype=np.uint64)
-    keys = mixed(mixed(words) + mixed(place))
-    first = np.lexsort((keys, -np.bitwise_count(words).astype(np.int16)))[: bound(2 * band_top(band), percent) + 1]
-    return keys[first].view(np.int64)
+def offered_words(shingles: np.ndarray, band: int, percent: int) -> np.ndarray:
+    """Bucket keys of the words that a document offers; the highest byte is the band."""
+    k = n_words(band, percent)
+    word = ((shingles >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)).astype(np.int64)
+    starts = np.flatnonzero(np.diff(word, prepend=-1))  # shingles are sorted, so are their words
+    values, counts = np.zeros(k, dtype=np.uint64), np.zeros(k, dtype=np.uint64)
+    values[word[starts]] = np.bitwise_xor.reduceat(mixed(shingles), starts)
+    counts[word[starts]] = np.diff(starts, append=len(word))
+    place = np.arange(band << 32, (band << 32) + k, dtype=np.uint64)
+    keys = mixed(mixed(values + counts) + place) >> np.uint64(8)
+    order = (np.uint64(255) - np.minimum(counts, np.uint64(255)) << BAND_SHIFT) | keys
+    most = min(band_top(band), 100 * len(shingles) // percent)
+    first = np.argsort(order)[: bound(len(shingles) + most, percent) + 1]
+    return (keys[first] | np.uint64(band) << BAND_SHIFT).view(np.int64)
 
 
-def scan(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(rank, k, n, node, bands): one row per document; ``bands``: its sketches as (band, words)."""
-    source = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("rank"), F.xxhash64("text").alias("k"), F.col("text").alias("t")
-    )
+def ranked(docs: DataFrame) -> DataFrame:
+    """(rank, k, text): the doc_id, largest for null, and a hash of the text."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("rank"), F.xxhash64("text").alias("k"), "text")
+
+
+def scan(docs: DataFrame, size: int) -> DataFrame:
+    """(rank, k, n, node): one row per document."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in small_frames(frames, "t", limit=2_000_000):
-            sets = shingle_sets(frame["t"].tolist(), size)
+        for frame in small_frames(frames, "text", limit=2_000_000):
+            sets = shingle_sets(frame["text"].tolist(), size)
             out = frame[["rank", "k"]].copy()
             out["n"] = [len(s) for s in sets]
             out["node"] = pd.array([node_of(s) if len(s) else None for s in sets], dtype="Int64")
-            out["bands"] = [
-                [{"band": b, "words": sketch(s, b, percent).tobytes()} for b in (bands(len(s), percent) if len(s) else [])] for s in sets
-            ]
             yield out
 
-    return map_frames(source, run, "rank long, k long, n long, node long, bands array<struct<band:int,words:binary>>")
+    return map_frames(ranked(docs), run, "rank long, k long, n long, node long")
 
 
-def offers(sketches: DataFrame, percent: int) -> DataFrame:
-    """(key, node, band) per offered word."""
+def offers(texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(key, node) per offered word."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            keys = [offered_words(np.frombuffer(w, "<u8"), b, percent) for b, w in zip(frame["band"], frame["words"])]
-            counts = [len(x) for x in keys]
-            for start in range(0, len(keys), 500):
-                some = slice(start, start + 500)
-                yield pd.DataFrame(
-                    {
-                        "key": np.concatenate(keys[some]),
-                        "node": np.repeat(frame["node"].to_numpy()[some], counts[some]),
-                        "band": np.repeat(frame["band"].to_numpy()[some], counts[some]),
-                    }
-                )
-
-    return map_frames(sketches.select("node", "band", "words"), run, "key long, node long, band int")
-
-
-def close_pairs(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the pairs (a, b, band) whose sketches allow a link."""
-    left = sketches.select(F.col("node").alias("a"), "band", F.col("n").alias("na"), F.col("words").alias("wa"))
-    right = sketches.select(F.col("node").alias("b"), "band", F.col("n").alias("nb"), F.col("words").alias("wb"))
-    sized = pairs.join(left, ["a", "band"]).join(right, ["b", "band"])
-    sized = sized.filter((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frames = (batch.to_pandas() for batch in batches)
+        for frame in small_frames(frames, "text", limit=500_000):
+            keys, nodes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for s in shingle_sets(frame["text"].tolist(), size):
+                if len(s):
+                    mine = [offered_words(s, b, percent) for b in bands(len(s), percent)]
+                    keys += mine
+                    nodes += [np.full(sum(map(len, mine)), node_of(s), dtype=np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(nodes))], ["key", "node"])
+
+    ship(texts.sparkSession)
+    return texts.select("text").mapInArrow(run, "key long, node long")
+
+
+def packed_texts(texts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(node, packed): the compressed text of the document chosen for each node (rank, k, node)."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            apart = np.array(
-                [int(np.bitwise_count(np.frombuffer(x, "<u8") ^ np.frombuffer(y, "<u8")).sum()) for x, y in zip(frame["wa"], frame["wb"])], dtype=np.int64
-            )
-            most = (100 - percent) * (frame["na"] + frame["nb"]).to_numpy() // (100 + percent)
-            yield frame.loc[apart <= most, ["a", "b"]]
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for frame in small_frames(frames, "text"):
+            yield pd.DataFrame({"node": frame["node"], "packed": [pack(t.encode("utf-8", "surrogatepass")) for t in frame["text"]]})
+
+    return map_frames(texts.join(within_broadcast(chosen), ["rank", "k"]).select("node", "text"), run, "node long, packed binary")
+
 
-    return map_frames(sized.select("a", "b", "na", "nb", "wa", "wb"), run, "a long, b long").distinct()
+def unpacked_sets(packed: pd.Series, size: int) -> list[np.ndarray]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return shingle_sets([unpack(p).decode("utf-8", "surrogatepass") for p in packed], size)
 
 
-def linked_pairs(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, tested on the whole shingle sets of one document of each node."""
-    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    chosen = nodes.join(needed, "node").select("rank", "k", "node")
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("rank"), F.xxhash64("text").alias("k"), "text")
+def linked_pairs(pairs: DataFrame, packed: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link, tested by Hamming distance, then on the whole shingle sets."""
+    left, right = packed.toDF("a", "ta"), packed.toDF("b", "tb")
+
+    def linked(x: np.ndarray, y: np.ndarray) -> bool:
+        small, large = (x, y) if len(x) < len(y) else (y, x)
+        band, most = band_of(len(large)), bound(len(x) + len(y), percent)
+        if np.bitwise_count(sketch(small, band, percent) ^ sketch(large, band, percent)).sum() > most:
+            return False
+        at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+        shared = int((large[at] == small).sum())
+        return 100 * shared >= percent * (len(x) + len(y) - shared)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in small_frames(frames, "text", limit=2_000_000):
-            yield pd.DataFrame({"node": frame["node"], "words": [s.tobytes() for s in shingle_sets(frame["text"].tolist(), size)]})
+        for frame in frames:
+            sizes = frame["ta"].map(len).to_numpy() + frame["tb"].map(len).to_numpy()
+            for _, some in frame.groupby((sizes.cumsum() - sizes) // 1_000_000):
+                texts = pd.concat([some[["a", "ta"]].set_axis(["node", "t"], axis=1), some[["b", "tb"]].set_axis(["node", "t"], axis=1)])
+                texts = texts.drop_duplicates("node")
+                sets = dict(zip(texts["node"].tolist(), unpacked_sets(texts["t"], size)))
+                keep = [linked(sets[a], sets[b]) for a, b in zip(some["a"].tolist(), some["b"].tolist())]
+                yield some.loc[keep, ["a", "b"]]
 
-    found = map_frames(texts.join(chosen, ["rank", "k"]).select("node", "text"), run, "node long, words binary")
-    sets = stored(found.groupBy("node").agg(F.min("words").alias("words")), "parity-sets")  # rows with equal id and text
-    left, right = sets.toDF("a", "wa"), sets.toDF("b", "wb")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
+    return map_frames(both, run, "a long, b long")
 
-    def test(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def sketches_of(packed: DataFrame, size: int, percent: int) -> DataFrame:
+    """(node, band, n, words): the compressed sketches of each node."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pack = zstandard.ZstdCompressor(level=3).compress
         for frame in frames:
-            keep = []
-            for x, y in zip(frame["wa"], frame["wb"]):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                small, large = (x, y) if len(x) < len(y) else (y, x)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                shared = int((large[at] == small).sum())
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield frame.loc[keep, ["a", "b"]]
+            for start in range(0, len(frame), 100):
+                some = frame.iloc[start : start + 100]
+                rows = [
+                    (node, b, len(s), pack(sketch(s, b, percent).tobytes()))
+                    for node, s in zip(some["node"].tolist(), unpacked_sets(some["packed"], size))
+                    for b in bands(len(s), percent)
+                ]
+                yield pd.DataFrame(rows, columns=["node", "band", "n", "words"])
 
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb")
-    return map_frames(both, test, "a long, b long")
+    return map_frames(packed, run, "node long, band int, n long, words binary")
 
 
 def cells(members: DataFrame, cell: int = CELL) -> DataFrame:
@@ -222,17 +254,20 @@ def cells(members: DataFrame, cell: int = CELL) -> DataFrame:
     return dealt.withColumn("x", F.least("mine", "other")).withColumn("y", F.greatest("mine", "other")).drop("other")
 
 
-def remaining_pairs(members: DataFrame, roots: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+def remaining_pairs(members: DataFrame, roots: DataFrame, packed: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
     """(a, b): pairs that share a bucket, lie in different components and whose sketches allow a link."""
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_keys = placed.groupBy("key", "band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n_members"))
+    open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n_members"))
     # With up to three members, every pair holds the smallest or the largest and has been tested.
-    open_keys = open_keys.filter("lo <> hi AND n_members > 3").select("key", "band", "n_members")
-    full = placed.join(open_keys, ["key", "band"]).join(sketches.select("node", "band", "n", "words"), ["node", "band"])
-    dealt = cells(full).select("key", "band", "x", "y", "mine", "node", "root", "n", "words")
+    open_keys = open_keys.filter("lo <> hi AND n_members > 3").select("key", "n_members")
+    full = scratch.stored(placed.join(open_keys, "key").select("key", "node", "root", "n_members"), "parity-open")
+    known = scratch.stored(sketches_of(packed.join(full.select("node").distinct(), "node"), size, percent), "parity-sketches")
+    full = full.withColumn("band", F.shiftrightunsigned("key", int(BAND_SHIFT)).cast("int")).join(known, ["node", "band"])
+    dealt = cells(full).select("key", "x", "y", "mine", "node", "root", "n", "words")
 
     def test(frame: pd.DataFrame) -> pd.DataFrame:
-        words = np.stack([np.frombuffer(w, "<u8") for w in frame["words"]])
+        unpack = zstandard.ZstdDecompressor().decompress
+        words = np.stack([np.frombuffer(unpack(w), "<u8") for w in frame["words"]])
         n, root, node, mine = (frame[c].to_numpy() for c in ("n", "root", "node", "mine"))
         split = frame["x"].iloc[0] != frame["y"].iloc[0]
         rows = np.flatnonzero(mine == mine.min()) if split else np.arange(len(frame))
@@ -266,38 +301,48 @@ def remaining_pairs(members: DataFrame, roots: DataFrame, sketches: DataFrame, p
     return map_frames(dealt.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY), run, "a long, b long").distinct()
 
 
-def joined(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+def one_text_per_node(docs: DataFrame, scanned: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(rank, k, text) of the documents chosen in ``nodes``, and of those without a word."""
+    others = scanned.join(nodes.select("node", F.col("rank").alias("r"), F.col("k").alias("c")), "node").filter("rank <> r OR k <> c")
+    others = scratch.stored(others.select("rank", "k").distinct(), "parity-copies")
+    texts = ranked(docs).join(within_broadcast(others), ["rank", "k"], "left_anti")
+    repeated = scanned.groupBy("rank", "k").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").head(1)
+    return texts.dropDuplicates(["rank", "k"]) if repeated else texts
+
+
+def joined(docs: DataFrame, size: int, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(documents as rank, k, n, node; nodes in components of two or more as node, root)."""
-    scanned = stored(scan(docs, size, percent), "parity-scan")
-    known = scanned.filter("node IS NOT NULL")
-    # One row per node: its smallest document, and the sketches all its documents share.
-    first = known.groupBy("node").agg(F.min("rank").alias("rank"))
-    nodes = stored(
-        known.join(first, ["node", "rank"]).groupBy("node", "rank").agg(F.min("k").alias("k"), F.min("n").alias("n"), F.min("bands").alias("bands")),
-        "parity-nodes",
-    )
-    sketches = nodes.select("node", "n", F.explode("bands").alias("s")).select("node", "n", "s.band", "s.words")
+    scanned = scratch.stored(scan(docs, size), "parity-scan")
+    # One row per node: its smallest document.
+    first = scanned.filter("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("rank", "k")).alias("first"), F.min("n").alias("n"))
+    nodes = scratch.stored(first.select("node", "first.rank", "first.k", "n"), "parity-nodes")
+    texts = one_text_per_node(docs, scanned, nodes, scratch)
     # The largest intermediate: dealt once by bucket, for the sums and for the join back.
     pieces = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    offered = offers(sketches, percent).repartition(pieces, "key", "band")
-    buckets = offered.groupBy("key", "band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
-    members = stored(offered.join(buckets.hint("merge"), ["key", "band"]), "parity-members")
-    stars = members.select("node", "band", F.explode(F.array("lo", "hi")).alias("centre")).filter("node <> centre")
-    pairs = stars.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"), "band").distinct()
-    close = stored(close_pairs(pairs, sketches, percent), "parity-close")
-    links = stored(linked_pairs(close, docs, nodes, size, percent), "parity-links")
+    offered = offers(texts, size, percent).repartition(pieces, "key")
+    buckets = offered.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
+    members = scratch.stored(offered.join(buckets.hint("merge"), "key"), "parity-members")
+    stars = members.select("node", F.explode(F.array("lo", "hi")).alias("centre")).filter("node <> centre")
+    pairs = stars.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    sizes = nodes.select("node", "n")
+    pairs = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+    pairs = scratch.stored(pairs.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b"), "parity-pairs")
+    chosen = scratch.stored(nodes.join(members.select("node").distinct(), "node").select("rank", "k", "node"), "parity-chosen")
+    packed = scratch.stored(packed_texts(texts, chosen), "parity-texts")
+    links = scratch.stored(linked_pairs(pairs, packed, size, percent), "parity-links")
     roots = stored(components(links), "parity-roots")
-    rest = stored(remaining_pairs(members.select("key", "node", "band"), roots, sketches, percent), "parity-rest")
-    rest = rest.join(close, ["a", "b"], "left_anti")
+    rest = scratch.stored(remaining_pairs(members.select("key", "node"), roots, packed, size, percent, scratch), "parity-rest")
+    rest = rest.join(pairs, ["a", "b"], "left_anti")
     if rest.head(1):
-        more = stored(linked_pairs(rest, docs, nodes, size, percent), "parity-links")
+        more = scratch.stored(linked_pairs(rest, packed, size, percent), "parity-links")
         roots = stored(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "parity-roots")
     return scanned.select("rank", "k", "n", "node"), roots
 
 
 def component_ids(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id) per document; class_id is the smallest doc_id with an equal set."""
-    scanned, roots = joined(docs, size, percent)
+    scratch = Scratch()
+    scanned, roots = joined(docs, size, percent, scratch)
     classes = scanned.filter("node IS NOT NULL").groupBy("node").agg(F.min("rank").alias("class_rank"))
     rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("class_rank").alias("least"))
@@ -307,20 +352,26 @@ def component_ids(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) ->
         return F.when(F.col(column) != NO_ID, F.col(column))
 
     full = scanned.join(named, "node", "left").withColumns({c: F.coalesce(c, "rank") for c in ("class_rank", "least")})
-    return full.select(
+    found = full.select(
         real("rank").alias("doc_id"), F.col("n").alias("n_shingles"), real("class_rank").alias("class_id"), real("least").alias("component_id")
     )
+    found = stored(found, "parity-found")
+    scratch.clear()
+    return found
 
 
 def keep_one(docs: DataFrame, keep: list[str], size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """``keep`` of one document of each component, the one with the smallest doc_id, and of all documents that link with none."""
-    scanned, roots = joined(docs, size, percent)
+    scratch = Scratch()
+    scanned, roots = joined(docs, size, percent, scratch)
     placed = scanned.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     grouped = placed.filter("node IS NOT NULL")
     first = grouped.groupBy("root").agg(F.min("rank").alias("rank"))
-    winners = grouped.join(first, ["root", "rank"]).groupBy("root", "rank").agg(F.min("k").alias("k")).select("rank", "k")
+    winners = grouped.join(first, ["root", "rank"]).groupBy("root", "rank").agg(F.min("k").alias("k"))
+    winners = stored(winners.select("rank", "k"), "parity-winners")
     rows = docs.select(*keep, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("own_rank"), F.xxhash64("text").alias("own_k"))
-    wordless = placed.filter("node IS NULL").select("rank", "k").distinct()
+    wordless = stored(placed.filter("node IS NULL").select("rank", "k").distinct(), "parity-wordless")
+    scratch.clear()
     on = F.expr("own_rank = rank AND own_k = k")
     kept = rows.join(winners, on, "left_semi").dropDuplicates(["own_rank", "own_k"])
     return kept.unionByName(rows.join(wordless, on, "left_semi")).select(*keep)
