@@ -25,15 +25,18 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return hooked.unionByName(least.withColumnRenamed("m", "v")).distinct()
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node is either a centre or has one link, to a centre; then more steps change nothing."""
+    leaf, centre = (F.struct(F.col(c).alias("node"), F.lit(n).alias("leaf")) for c, n in (("u", 1), ("v", 0)))
+    ends = edges.select(F.explode(F.array(leaf, centre)).alias("end"))
+    uses = ends.select("end.*").groupBy("node").agg(F.sum("leaf").alias("as_leaf"), F.min("leaf").alias("least"))
+    return uses.filter("as_leaf > 1 OR (as_leaf = 1 AND least = 0)").limit(1).count() == 0
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b); the root is the smallest node of its component."""
     edges = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "components")
-    before = None
-    while True:
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now[0] == 0 or now == before:
-            break
-        before = now
+    while not _all_stars(edges):
         edges = stored(_small_star(_large_star(edges)), "components")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
