@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.rules import RISK_BANDS
-from ledgerlens.operators.quantiles import QUARTILES, box_stats, exact_box
+from ledgerlens.operators.quantiles import QUARTILES, box_stats
 
 
 def count_rows() -> Column:
@@ -165,11 +165,11 @@ def score_dist_by_class(df: DataFrame, fraud_col: str | None = None, bins: int =
     return counts.agg(count_rows().alias("transactions"))
 
 
-def score_quantiles_by_class(df: DataFrame, fraud_col: str | None = None) -> DataFrame:
-    """Quartiles and tails of the score for each class."""
+def score_quantiles_by_class(df: DataFrame, fraud_col: str | None = None, method: str = "exact") -> DataFrame:
+    """Quartiles and tails of the score for each class; ``counted`` suits rule scores, see ``counted_box``."""
     probs = {"p05": 0.05, **QUARTILES, "p95": 0.95}
     classed = df.select(class_name(df, fraud_col).alias("class"), "fraud_score")
-    return exact_box(classed, "class", "fraud_score", probs).select("class", *probs)
+    return box_stats(classed, "class", "fraud_score", method, probs).select("class", *probs)
 
 
 def risk_level_counts(df: DataFrame) -> DataFrame:

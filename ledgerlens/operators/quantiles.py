@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Cells per doubling of (1 + |value|). The first grid has some thousand cells
-# however many rows there are; a cell of the second is 4096 times narrower.
-COARSE, FINE = 64, 64 * 4096
+# Cells per doubling of (1 + |value|): of the grid for quantiles, which has some
+# hundred thousand cells however many rows there are, and of that for totals.
+FINE, COARSE = 16 * 1024, 1024
 
 
 def cell(value: Column, per_doubling: int) -> Column:
@@ -33,7 +33,7 @@ def _within(counts: DataFrame, part: list[str], order: str) -> DataFrame:
     return placed.withColumn("ranks", relative).filter(F.size("ranks") > 0).drop("before", "n")
 
 
-def _overall(cells: DataFrame) -> DataFrame:
+def _overall(cells: DataFrame, order: str) -> DataFrame:
     """Add ``stats``: the group's basic statistics, merged from its cells."""
     group = Window.partitionBy("g")
     total, mean = F.sum("n").over(group), F.sum(F.col("n") * F.col("mean")).over(group)
@@ -47,63 +47,34 @@ def _overall(cells: DataFrame) -> DataFrame:
     apart = F.col("mean") - F.col("overall")
     spread = F.sum(F.col("n") * (F.col("variance") + apart * apart)).over(group)
     sd = F.sqrt(F.try_divide(spread, F.col("total") - 1))
-    return merged.select(
-        "g",
-        "coarse",
-        "n",
-        F.struct("total", "min_value", "max_value", F.col("overall").alias("mean_value"), sd.alias("sd_value")).alias(
-            "stats"
-        ),
-    )
+    stats = F.struct("total", "min_value", "max_value", F.col("overall").alias("mean_value"), sd.alias("sd_value"))
+    return merged.select("g", order, "n", stats.alias("stats"))
 
 
-def exact_box(df: DataFrame, group: str, value: str, probs: dict[str, float]) -> DataFrame:
-    """n, min, max, mean, sd and interpolated quantiles per group.
-
-    Three narrow scans: count per coarse cell, count per fine cell of the cells
-    that hold a wanted rank, count per value of the fine cells left. All counts
-    are reduced map-side, so equal values cost one row, and a sort only ever
-    sees the values of one fine cell. ``group`` must have few distinct values:
-    the broadcast cell list has at most ``2 * len(probs)`` rows per group.
-    """
-    data = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    data = data.withColumn("coarse", cell(F.col("v"), COARSE)).withColumn("fine", cell(F.col("v"), FINE))
-    count = F.count(F.lit(1)).alias("n")
-
-    total = F.col("stats.total")
-    position = [F.lit(p) * (total - 1) for p in probs.values()]
-    ranks = F.array(
+def _wanted(probs: dict[str, float]) -> Column:
+    """The ranks on both sides of each quantile, as (slot, rank)."""
+    position = [F.lit(p) * (F.col("stats.total") - 1) for p in probs.values()]
+    return F.array(
         *[
             F.struct(F.lit(slot).alias("slot"), side(position[slot // 2]).cast("long").alias("rank"))
             for slot, side in enumerate([F.floor, F.ceil] * len(probs))
         ]
     )
-    top = data.groupBy("g", "coarse").agg(
-        count,
-        F.min("v").alias("low"),
-        F.max("v").alias("high"),
-        F.avg("v").alias("mean"),
-        F.var_pop("v").alias("variance"),
-    )
-    coarse = _within(_overall(top).withColumn("ranks", ranks), ["g"], "coarse")
 
-    middle = data.join(F.broadcast(coarse), ["g", "coarse"]).groupBy("g", "coarse", "stats", "ranks", "fine").agg(count)
-    fine = _within(middle, ["g", "coarse"], "fine")
-
-    bottom = data.join(F.broadcast(fine), ["g", "coarse", "fine"])
-    bottom = bottom.groupBy("g", "coarse", "stats", "ranks", "fine", "v").agg(count)
-    found = _within(bottom, ["g", "fine"], "v").select("g", "stats", "v", F.explode("ranks.slot").alias("slot"))
 
+def _interpolated(found: DataFrame, group: str, probs: dict[str, float]) -> DataFrame:
+    """One row per group from the values (g, stats, v, ranks) at the wanted ranks."""
+    found = found.select("g", "stats", "v", F.explode("ranks.slot").alias("slot"))
     ends = found.groupBy("g", "stats").agg(
         *[F.max(F.when(F.col("slot") == s, F.col("v"))).alias(f"end{s}") for s in range(2 * len(probs))]
     )
     lerp = []
-    for i, name in enumerate(probs):
-        low, high = F.col(f"end{2 * i}"), F.col(f"end{2 * i + 1}")
-        lerp.append((low + (high - low) * (position[i] - F.floor(position[i]))).alias(name))
+    for i, (name, p) in enumerate(probs.items()):
+        low, high, position = F.col(f"end{2 * i}"), F.col(f"end{2 * i + 1}"), F.lit(p) * (F.col("stats.total") - 1)
+        lerp.append((low + (high - low) * (position - F.floor(position))).alias(name))
     return ends.select(
         F.col("g").alias(group),
-        total.alias("n"),
+        F.col("stats.total").alias("n"),
         "stats.min_value",
         "stats.max_value",
         "stats.mean_value",
@@ -112,16 +83,60 @@ def exact_box(df: DataFrame, group: str, value: str, probs: dict[str, float]) ->
     )
 
 
+def _values(df: DataFrame, group: str, value: str) -> DataFrame:
+    return df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
+
+
+def exact_box(df: DataFrame, group: str, value: str, probs: dict[str, float]) -> DataFrame:
+    """n, min, max, mean, sd and interpolated quantiles per group.
+
+    Two narrow scans: count per grid cell, then count per value of the cells
+    that hold a wanted rank. All counts are reduced map-side, so equal values
+    cost one row, and a sort only ever sees the cells of a group or the values
+    of one cell. ``group`` must have few distinct values: the broadcast cell
+    list has at most ``2 * len(probs)`` rows per group.
+    """
+    data = _values(df, group, value).withColumn("fine", cell(F.col("v"), FINE))
+    count = F.count(F.lit(1)).alias("n")
+    cells = data.groupBy("g", "fine").agg(
+        count,
+        F.min("v").alias("low"),
+        F.max("v").alias("high"),
+        F.avg("v").alias("mean"),
+        F.var_pop("v").alias("variance"),
+    )
+    fine = _within(_overall(cells, "fine").withColumn("ranks", _wanted(probs)), ["g"], "fine")
+    inside = data.join(F.broadcast(fine), ["g", "fine"]).groupBy("g", "stats", "ranks", "fine", "v").agg(count)
+    return _interpolated(_within(inside, ["g", "fine"], "v"), group, probs)
+
+
+def counted_box(df: DataFrame, group: str, value: str, probs: dict[str, float]) -> DataFrame:
+    """As ``exact_box``, in one scan, for a value with few distinct values in each group.
+
+    The rows are counted per value; the counts of a group are sorted in one
+    task. Sums of rules take at most some hundred values.
+    """
+    counts = _values(df, group, value).groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    as_cells = counts.select("*", *[F.col("v").alias(c) for c in ("low", "high", "mean")], F.lit(0.0).alias("variance"))
+    ranked = _overall(as_cells, "v").withColumn("ranks", _wanted(probs))
+    return _interpolated(_within(ranked, ["g"], "v"), group, probs)
+
+
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
-def box_stats(df: DataFrame, group: str, value: str, method: str = "exact") -> DataFrame:
-    """n, min, quartiles, max, mean and standard deviation per group.
+def box_stats(
+    df: DataFrame, group: str, value: str, method: str = "exact", probs: dict[str, float] = QUARTILES
+) -> DataFrame:
+    """n, min, quantiles, max, mean and standard deviation per group.
 
-    ``approx`` answers in one scan with sketched quartiles, ``exact`` in three.
+    ``exact`` answers in two scans, ``counted`` in one if there are few distinct
+    values, ``approx`` in one with sketched quantiles.
     """
     if method == "exact":
-        return exact_box(df, group, value, QUARTILES)
+        return exact_box(df, group, value, probs)
+    if method == "counted":
+        return counted_box(df, group, value, probs)
     if method != "approx":
         raise ValueError(f"unknown method: {method}")
     return df.groupBy(group).agg(
@@ -130,7 +145,7 @@ def box_stats(df: DataFrame, group: str, value: str, method: str = "exact") -> D
         F.max(value).alias("max_value"),
         F.avg(value).alias("mean_value"),
         F.stddev(value).alias("sd_value"),
-        *[F.percentile_approx(value, p, 10_000).alias(name) for name, p in QUARTILES.items()],
+        *[F.percentile_approx(value, p, 10_000).alias(name) for name, p in probs.items()],
     )
 
 
@@ -141,7 +156,7 @@ def running_totals(df: DataFrame, value: str, sums: list[str]) -> DataFrame:
     (some thousand rows in one small window); within a cell the values are then
     summed in parallel on top of what the cells above hold.
     """
-    celled = df.withColumn("cell", cell(F.col(value), 16 * COARSE))
+    celled = df.withColumn("cell", cell(F.col(value), COARSE))
     above = Window.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     cells = (

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +82,18 @@ def history_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(tables.load_history(spark, inputs.history_path(spark, sf_dir)).select(*TRANSACTION_COLUMNS, "year", "month"))
 
 
+@registered
+def scored_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, and files read and passed over, of a scored table with a damaged file."""
+    path = inputs.scored_files(spark, sf_dir)
+    loaded = tables.load_scored(spark, path, skip_unreadable=True)
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    alert = F.col("predicted_fraud").cast("long")
+    rows = loaded.select(one.alias("transactions"), alert.alias("alerts"), zero.alias("skipped"))
+    lost = tables.skipped_files(spark, path).select(zero.alias("transactions"), zero.alias("alerts"), one.alias("skipped"))
+    return rows.unionByName(lost).agg(*[F.sum(c).alias(c) for c in rows.columns])
+
+
 @registered
 def sql_view_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.register_view(scoring.rule_output(transactions(spark, sf_dir)), "fraud_detection_ml")
@@ -192,9 +205,9 @@ on_transactions("split_balance", model.split_balance)
 on_scored("confusion_pivot", model.confusion_pivot)
 
 
-def _test_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _test_predictions(spark: SparkSession, sf_dir: str, forest: RandomForestClassificationModel) -> DataFrame:
     _, test = model.split(transactions(spark, sf_dir))
-    return scoring.model_output(test, inputs.forest(spark, sf_dir))
+    return scoring.model_output(test, forest)
 
 
 @registered
@@ -216,7 +229,14 @@ def model_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model.evaluate(_test_predictions(spark, sf_dir))
+    return model.evaluate(_test_predictions(spark, sf_dir, inputs.forest(spark, sf_dir)))
+
+
+@registered
+def model_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten test predictions that a training report shows."""
+    _, test = model.split(transactions(spark, sf_dir))
+    return model.preview(scoring.score_model(test, inputs.forest(spark, sf_dir)))
 
 
 @registered
@@ -227,10 +247,10 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows scored alike by a model and by its saved and loaded copy."""
-    path = work_dir(spark, "forest")
-    model.save_model(inputs.forest(spark, sf_dir), path)
+    path, forest = work_dir(spark, "forest"), inputs.forest(spark, sf_dir)
+    model.save_model(forest, path)
     scores = ["predicted_fraud", "fraud_probability", "fraud_score", "risk_level"]
-    first = scoring.score_model(transactions(spark, sf_dir), inputs.forest(spark, sf_dir))
+    first = scoring.score_model(transactions(spark, sf_dir), forest)
     first = first.select(*TRANSACTION_COLUMNS, *[F.col(c).alias(f"first_{c}") for c in scores])
     again = scoring.score_model(first, model.load_model(path))
     same = F.lit(True)
@@ -241,10 +261,11 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def model_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    metrics = {r["metric"]: r["value"] for r in model.evaluate(_test_predictions(spark, sf_dir)).collect()}
+    forest = inputs.forest(spark, sf_dir)
+    metrics = {r["metric"]: r["value"] for r in model.evaluate(_test_predictions(spark, sf_dir, forest)).collect()}
     balance = model.split_balance(transactions(spark, sf_dir)).groupBy("part").agg(F.sum("transactions").alias("n"))
     sizes = {r["part"]: r["n"] for r in balance.collect()}
-    row = model.model_metadata(spark, inputs.forest(spark, sf_dir), metrics, sizes.get("train", 0), sizes.get("test", 0))
+    row = model.model_metadata(spark, forest, metrics, sizes.get("train", 0), sizes.get("test", 0))
     path = work_dir(spark, "metadata")
     model.save_metadata(row, path)
     return spark.read.schema(row.schema).json(path)
@@ -261,10 +282,12 @@ on_scored("confusion_matrix", monitoring.confusion_matrix)
 on_scored("timeline_5min", monitoring.timeline)
 on_scored("timeline_1min", monitoring.timeline_by_class)
 on_scored("fraud_rate_gauge", monitoring.fraud_rate_gauge, fraud_rate_pct=6, delta_pct=6)
-on_scored("score_box_by_band", monitoring.score_box_by_band, **BOX)
+on_scored("score_box_by_band", lambda df: monitoring.score_box_by_band(df, method="counted"), **BOX)
 on_scored("score_histogram", monitoring.score_histogram)
 on_scored("score_dist_by_class", monitoring.score_dist_by_class)
-on_scored("score_quantiles_by_class", monitoring.score_quantiles_by_class, p05=6, q1=6, median=6, q3=6, p95=6)
+on_scored(
+    "score_quantiles_by_class", lambda df: monitoring.score_quantiles_by_class(df, method="counted"), p05=6, q1=6, median=6, q3=6, p95=6
+)
 on_scored("risk_level_counts", monitoring.risk_level_counts)
 on_scored("fraud_rate_by_category", monitoring.fraud_rate_by_category)
 on_scored("amount_box_by_class", monitoring.amount_box_by_class, **BOX)

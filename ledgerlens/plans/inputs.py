@@ -7,15 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.model import split, train_forest
-from ledgerlens.operators.scoring import score_rules
+from ledgerlens.operators.scoring import rule_output, score_rules
 from ledgerlens.session import work_dir
 from ledgerlens.sinks.batch import encode_messages, write_history
 from ledgerlens.sources.events import transactions
 
-# Per application: folders already written and models already trained.
-_history: dict[tuple[str, str], str] = {}
-_models: dict[tuple[str, str], RandomForestClassificationModel] = {}
-
 FOREST = {"numTrees": 20, "maxDepth": 8}
 
 LITERAL_ROWS = [
@@ -51,21 +47,24 @@ def damaged_messages(tx: DataFrame) -> DataFrame:
 
 def history_path(spark: SparkSession, sf_dir: str) -> str:
     """Transactions written as history; days after the 15th move on by 31 days."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _history:
-        path = work_dir(spark, "history")
-        tx = transactions(spark, sf_dir)
-        later = F.col("timestamp") + F.expr("INTERVAL 31 DAYS")
-        moved = F.when(F.dayofmonth("timestamp") > 15, later).otherwise(F.col("timestamp"))
-        write_history(tx.withColumn("timestamp", moved), path)
-        _history[key] = path
-    return _history[key]
+    path = work_dir(spark, "history")
+    tx = transactions(spark, sf_dir)
+    later = F.col("timestamp") + F.expr("INTERVAL 31 DAYS")
+    moved = F.when(F.dayofmonth("timestamp") > 15, later).otherwise(F.col("timestamp"))
+    write_history(tx.withColumn("timestamp", moved), path)
+    return path
+
+
+def scored_files(spark: SparkSession, sf_dir: str) -> str:
+    """The rule-scored transactions, a file or more per category, with one damaged file among them."""
+    path = work_dir(spark, "scored-files")
+    output = rule_output(transactions(spark, sf_dir))
+    output.repartition("merchant_category").write.parquet(path)
+    spark.range(1, numPartitions=1).select(F.lit("cut off while it was written")).write.mode("append").text(path)
+    return path
 
 
 def forest(spark: SparkSession, sf_dir: str) -> RandomForestClassificationModel:
     """A forest trained on the training part of the transactions."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _models:
-        train, _ = split(transactions(spark, sf_dir))
-        _models[key] = train_forest(train, **FOREST)
-    return _models[key]
+    train, _ = split(transactions(spark, sf_dir))
+    return train_forest(train, **FOREST)

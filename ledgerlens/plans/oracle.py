@@ -157,6 +157,8 @@ SELECT "year", "month", count(*) AS row_count, min("timestamp") AS first_seen, m
 FROM months GROUP BY 1, 2""")
 sql("history_month_slice", HIST, """
 SELECT transaction_id, "timestamp", amount, "year", "month" FROM months WHERE "year" = 2024 AND "month" = 2""")
+sql("scored_load", SCORED, """
+SELECT count(*) AS transactions, CAST(sum(predicted_fraud) AS BIGINT) AS alerts, CAST(1 AS BIGINT) AS skipped FROM scored""")
 sql("history_roundtrip", HIST, "SELECT * FROM months")
 
 RULE_OUTPUT = f"""

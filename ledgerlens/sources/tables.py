@@ -46,14 +46,29 @@ def scan_partitions(df: DataFrame) -> int:
     return df.rdd.getNumPartitions()
 
 
-def load_scored(spark: SparkSession, path: str) -> DataFrame:
-    """Read all Parquet files of a scored table and pass over unreadable ones."""
-    df = spark.read.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").parquet(path)
+def load_scored(spark: SparkSession, path: str, skip_unreadable: bool = False) -> DataFrame:
+    """Read all Parquet files of a scored table.
+
+    A damaged file ends the job, unless ``skip_unreadable`` asks to pass over
+    such files; ``skipped_files`` then names them.
+    """
+    reader = spark.read
+    if skip_unreadable:
+        reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+    df = reader.parquet(path)
     if "timestamp" in df.columns:
         df = df.withColumn("timestamp", F.col("timestamp").try_cast("timestamp"))
     return df
 
 
+def skipped_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file) for each file of the table from which ``skip_unreadable`` gets no row; empty files count as such."""
+    name = F.col("_metadata.file_path").alias("file")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(name)
+    read = load_scored(spark, path, skip_unreadable=True).select(name).distinct()
+    return listed.join(read, "file", "left_anti")
+
+
 def register_view(df: DataFrame, name: str = "fraud_detection_ml") -> DataFrame:
     """Expose a scored table to SQL under ``name`` and return its scan."""
     df.createOrReplaceTempView(name)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.features import assemble, model_features
 from ledgerlens.functions.rules import risk_level
 from ledgerlens.operators import investigation, model, monitoring
-from ledgerlens.operators.quantiles import QUARTILES, box_stats, exact_box, running_totals
+from ledgerlens.operators.quantiles import QUARTILES, box_stats, counted_box, exact_box, running_totals
 from ledgerlens.operators.scoring import score_model, score_rules
 from ledgerlens.schema import MODEL_FEATURES
 
@@ -30,12 +30,13 @@ DISTRIBUTIONS = {
 
 @pytest.mark.parametrize("draw", DISTRIBUTIONS.values(), ids=DISTRIBUTIONS.keys())
 @pytest.mark.parametrize("n", [1, 2, 7, 1000])
-def test_exact_quantiles(spark, draw, n):
+@pytest.mark.parametrize("box", [exact_box, counted_box])
+def test_exact_quantiles(spark, draw, n, box):
     rng = random.Random(n)
     rows = [(g, draw(rng)) for g in ("a", "b") for _ in range(n)] + [("a", None), ("c", None)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
     probs = {"p01": 0.01, **QUARTILES, "p99": 0.99, "low": 0.0, "high": 1.0}
-    got = {r["g"]: r for r in exact_box(df, "g", "v", probs).collect()}
+    got = {r["g"]: r for r in box(df, "g", "v", probs).collect()}
     assert set(got) == {"a", "b"}
     for g, r in got.items():
         values = np.array([v for k, v in rows if k == g and v is not None])

@@ -84,6 +84,12 @@ def test_metrics_run_as_one_aggregate(stored):
     assert plan(monitoring.detection_metrics(scored)).count("FileScan") == 1
 
 
+def test_quantiles_scan_the_table_once_or_twice(stored):
+    scored = scoring.score_rules(stored)
+    assert plan(monitoring.score_box_by_band(scored, method="counted")).count("FileScan") == 1
+    assert plan(monitoring.amount_box_by_class(scored)).count("FileScan") == 2
+
+
 def test_top_lists_do_not_sort_the_table(stored):
     scored = scoring.score_rules(stored)
     assert "TakeOrderedAndProject" in plan(investigation.recent_alerts(scored))

@@ -117,7 +117,10 @@ def test_load_scored_passes_over_broken_files(spark, tmp_path):
     df = table(spark, bursts(20, 1)).withColumn("timestamp", F.col("timestamp").cast("string"))
     df.coalesce(1).write.parquet(str(path))
     (path / "part-broken.parquet").write_bytes(b"not parquet")
-    got = tables.load_scored(spark, str(path))
+    got = tables.load_scored(spark, str(path), skip_unreadable=True)
+    assert [Path(r.file).name for r in tables.skipped_files(spark, str(path)).collect()] == ["part-broken.parquet"]
+    with pytest.raises(Exception, match="part-broken"):
+        tables.load_scored(spark, str(path)).count()
     assert got.count() == 20 and dict(got.dtypes)["timestamp"] == "timestamp"
 
 
