@@ -11,10 +11,13 @@ A line is parsed by a tree of fixed depth: its number of tokens, then its first
   belong go into another round, until no leaf yields a recurring template.
 
 A template recurs if its lines come from at least ``MIN_DOCS`` documents of
-different origin and at least half of its documents differ in origin. Documents
-that share the least of their line hashes have the same origin, so lines shared
-by copies of one document, exact or near, are not taken for boilerplate. Lines
-of recurring templates are dropped from every document.
+different origin. A line's origin is the least hash of the other lines of its
+document that stand, as they are, in fewer than ``MIN_DOCS`` documents. If these
+are shorter in sum than the other lines that more documents share, the document
+may be a copy, exact or near, and the origin is the least hash of the shared
+ones: lines of copies of one document are not taken for boilerplate. Documents
+without other lines have one origin. Lines of recurring templates are dropped
+from every document.
 
 All counts are sums by hash that are combined before the shuffle; no leaf or
 template is gathered in a task. Templates are joined back by hash.
@@ -43,7 +46,6 @@ MIN_TOKENS = 3
 FIELD = b"<*>"
 DIGIT = re.compile(rb"[0-9]")
 LARGEST = (1 << 63) - 1
-ODD = 0x9E3779B97F4A7C15
 
 
 def document_keys() -> list[Column]:
@@ -51,41 +53,86 @@ def document_keys() -> list[Column]:
 
 
 def parsed_lines(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(k1, k2, origin, line, masked, leaf, form): the lines of enough tokens of every document."""
+    """(k1, k2, line, masked, leaf, form, raw, size, place): the lines of enough tokens of every document.
+
+    ``raw`` is the hash of the line before its fields are masked; ``place`` is 2
+    for a document's first line, 1 for others, 0 where the document has the line already.
+    """
     source = docs.filter("text IS NOT NULL").select(*document_keys(), F.col("text").alias("t"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in small_frames(frames, "t", limit=2_000_000):
             rows = []
             for k1, k2, text in zip(frame["k1"].tolist(), frame["k2"].tolist(), frame["t"]):
-                parsed, origin = [], LARGEST
+                seen: set[int] = set()
                 for number, line in enumerate(text.encode("utf-8", "surrogatepass").split(b"\n")):
                     tokens = line.split()
                     if len(tokens) < MIN_TOKENS:
                         continue
+                    masked = b" ".join(tokens)
+                    raw = form = signed_hash(masked)
                     if DIGIT.search(line):
                         tokens = [FIELD if DIGIT.search(token) else token for token in tokens]
-                    masked = b" ".join(tokens)
-                    form = xxhash.xxh3_64_intdigest(masked) - LARGEST - 1
-                    origin = min(origin, form * ODD & LARGEST)
-                    leaf = xxhash.xxh3_64_intdigest(b"%d %b" % (len(tokens), b" ".join(tokens[:depth]))) - LARGEST - 1
-                    parsed.append((number, masked, leaf, form))
-                rows += [(k1, k2, origin, *line) for line in parsed]
+                        masked = b" ".join(tokens)
+                        form = signed_hash(masked)
+                    leaf = signed_hash(b"%d %b" % (len(tokens), b" ".join(tokens[:depth])))
+                    rows.append((k1, k2, number, masked, leaf, form, raw, len(line), 0 if raw in seen else 1 if seen else 2))
+                    seen.add(raw)
             if not rows:
                 continue
-            out = pd.DataFrame(rows, columns=["k1", "k2", "origin", "line", "masked", "leaf", "form"])
+            out = pd.DataFrame(rows, columns=["k1", "k2", "line", "masked", "leaf", "form", "raw", "size", "place"])
             out["masked"] = [m.decode("utf-8", "surrogatepass") for m in out["masked"]]
             yield out
 
-    return map_frames(source, run, "k1 long, k2 int, origin long, line int, masked string, leaf long, form long")
+    return map_frames(source, run, "k1 long, k2 int, line int, masked string, leaf long, form long, raw long, size int, place byte")
+
+
+def signed_hash(data: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(data) - LARGEST - 1
+
+
+def frequent(lines: DataFrame, key: str, min_docs: int) -> DataFrame:
+    """Values of ``key`` with so many lines that they can recur."""
+    counts = lines.filter("place > 0").groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter(F.col("n") >= min_docs).select(key)
+
+
+def with_origins(lines: DataFrame, forms: DataFrame, leaves: DataFrame, scratch: Scratch, min_docs: int) -> DataFrame:
+    """The lines of frequent ``forms`` or ``leaves`` with origin and often, which is set for those of the forms."""
+    same = lines.join(forms, "form", "left_semi").select("raw", "k1", "k2").distinct()
+    shared = same.groupBy("raw").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs).select("raw", F.lit(True).alias("shared"))
+    shared = within_broadcast(scratch.stored(shared, "templates-shared"))
+    marked = lines.join(shared, "raw", "left").withColumn("shared", F.coalesce("shared", F.lit(False)))
+    sizes = {
+        name: F.sum(F.when((F.col("place") > 0) & (F.col("shared") == kind), F.col("size")).otherwise(0)) / F.count_if(F.col("place") == 2)
+        for name, kind in (("shared_size", True), ("own_size", False))
+    }
+    # Both ends, as one of them may be the line that asks.
+    ends = {
+        f"{name}_{end}": least(F.when(F.col("shared") == kind, F.col("raw")))
+        for name, kind in (("shared", True), ("own", False))
+        for end, least in (("low", F.min), ("high", F.max))
+    }
+    documents = marked.groupBy("k1", "k2").agg(*[c.alias(name) for name, c in (sizes | ends).items()])
+    wanted = marked.join(forms.withColumn("often", F.lit(True)), "form", "left")
+    wanted = wanted.join(leaves.withColumn("busy", F.lit(True)), "leaf", "left").filter("often OR busy")
+
+    def other(name: str) -> Column:
+        end = F.when(F.col(f"{name}_low") != F.col("raw"), F.col(f"{name}_low")).otherwise(F.col(f"{name}_high"))
+        return F.when(end != F.col("raw"), end)
+
+    shared_left = F.col("shared_size") - F.when(F.col("shared"), F.col("size")).otherwise(0)
+    own_left = F.col("own_size") - F.when(F.col("shared"), 0).otherwise(F.col("size"))
+    origin = F.coalesce(F.when(shared_left > own_left, other("shared")).otherwise(other("own")), F.lit(0))
+    columns = ["k1", "k2", "line", "masked", "leaf", "form", F.coalesce("often", F.lit(False)).alias("often")]
+    return wanted.join(documents, ["k1", "k2"]).select(*columns, origin.alias("origin"))
 
 
 def recurring(lines: DataFrame, key: str, min_docs: int) -> DataFrame:
     """Values of ``key`` whose lines come from enough documents of different origin."""
-    documents = lines.groupBy(key, "origin", "k1", "k2").agg(F.lit(1).alias("one"))
-    origins = documents.groupBy(key, "origin").agg(F.count(F.lit(1)).alias("documents"))
-    found = origins.groupBy(key).agg(F.count(F.lit(1)).alias("origins"), F.sum("documents").alias("documents"))
-    return found.filter((F.col("origins") >= min_docs) & (2 * F.col("origins") >= F.col("documents"))).select(key)
+    documents = lines.groupBy(key, "k1", "k2").agg(F.min("origin").alias("origin"))
+    origins = documents.groupBy(key, "origin").agg(F.lit(1).alias("one"))
+    return origins.groupBy(key).agg(F.count(F.lit(1)).alias("origins")).filter(F.col("origins") >= min_docs).select(key)
 
 
 def majority_templates(lines: DataFrame) -> DataFrame:
@@ -104,13 +151,15 @@ def line_templates(
     lines: DataFrame, scratch: Scratch, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY
 ) -> tuple[DataFrame, DataFrame]:
     """(rows of ``lines`` to drop as k1, k2, line; the templates found)."""
-    forms = within_broadcast(scratch.stored(recurring(lines, "form", min_docs), "templates-forms"))
+    often = within_broadcast(scratch.stored(frequent(lines, "form", min_docs), "templates-often"))
+    busy = within_broadcast(scratch.stored(frequent(lines, "leaf", min_docs), "templates-busy"))
+    lines = scratch.stored(with_origins(lines, often, busy, scratch, min_docs), "templates-origins")
+    forms = within_broadcast(scratch.stored(recurring(lines.filter("often"), "form", min_docs), "templates-forms"))
     dropped = [lines.join(forms, "form", "left_semi").select("k1", "k2", "line")]
     named = [lines.join(forms, "form", "left_semi").groupBy("form").agg(F.min("masked").alias("template")).select("template")]
-    # Hashes first: only lines of leaves that recur need their tokens.
-    leaves = recurring(lines.drop("masked").join(forms, "form", "left_anti"), "leaf", min_docs)
-    leaves = within_broadcast(scratch.stored(leaves, "templates-leaves"))
-    rest = scratch.stored(lines.join(leaves, "leaf", "left_semi").join(forms, "form", "left_anti"), "templates-rest")
+    lines = lines.join(forms, "form", "left_anti")
+    leaves = within_broadcast(scratch.stored(recurring(lines, "leaf", min_docs), "templates-leaves"))
+    rest = scratch.stored(lines.join(leaves, "leaf", "left_semi"), "templates-rest")
     while rest.head(1):
         templates = majority_templates(rest)
         tokens = F.split("masked", " ")

@@ -137,6 +137,21 @@ def test_recurring_lines_are_dropped(spark, make_docs, odd_docs, no_docs):
     assert templates.drop_lines(no_docs).collect() == []
 
 
+def prose(i, lines=3):
+    """Lines that only document ``i`` has."""
+    return "\n".join(" ".join(f"{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]}{chr(97 + line)}{chr(97 + word)}" for word in range(8)) for line in range(lines))
+
+
+def test_boilerplate_whose_own_hash_is_small_is_dropped(make_docs):
+    phrases = [f"always the same closing words {a}{b}" for a in "abcdefgh" for b in "abcdefgh"]
+    rows = [(100 * p + i, f"{prose(i + 12 * (p % 8))}\n{phrase}", "en", "a") for p, phrase in enumerate(phrases) for i in range(12)]
+    got = {r.doc_id: r.text for r in templates.drop_lines(make_docs(rows)).collect()}
+    assert [p for p, phrase in enumerate(phrases) if any(phrase in got[100 * p + i] for i in range(12))] == []
+    base = prose(0, 20).split("\n")
+    near = [(i, "\n".join([*base[: i % 20], prose(i + 1, 1), *base[i % 20 + 1 :]]), "en", "a") for i in range(60)]
+    assert {r.doc_id: r.text for r in templates.drop_lines(make_docs(near)).collect()} == {i: t for i, t, _, _ in near}
+
+
 def test_repeated_passages(make_docs, odd_docs, no_docs):
     passage = ". ".join(" ".join(f"p{s}w{i}" for i in range(9)) for s in range(7)) + "."
     rows = [(i, " ".join(f"d{i}x{j}" for j in range(40)) + ".\n" + (f"Glued head of {i} " + passage if i % 2 else passage) + f"\nTail of {i} alone.", "en", "a") for i in range(6)]
