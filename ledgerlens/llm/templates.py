@@ -8,7 +8,10 @@ A line is parsed by a tree of fixed depth: its number of tokens, then its first
 * over the other lines of a leaf, each position keeps the token that most lines
   have there and otherwise becomes variable. A line belongs to that template if
   at least ``SIMILARITY`` of its tokens equal the template's. Lines that do not
-  belong go into another round, until no leaf yields a recurring template.
+  belong go into another round. A leaf whose template does not recur is split by
+  the position whose frequent tokens hold most lines, a part per frequent token
+  and one for all other lines, until no part yields a recurring template or can
+  be split.
 
 A template recurs if its lines come from at least ``MIN_DOCS`` documents of
 different origin. A line's origin is the least hash of the other lines of its
@@ -147,6 +150,26 @@ def majority_templates(lines: DataFrame) -> DataFrame:
     return best.groupBy("leaf").agg(template.alias("template"))
 
 
+def split_leaves(lines: DataFrame, min_docs: int) -> DataFrame:
+    """Lines with the number of the part of their leaf that they belong to; leaves of one part are left out.
+
+    A leaf is parted at the position where the squared sizes of the tokens in
+    ``min_docs`` documents or more, but not in all lines, have the greatest sum.
+    """
+    placed = lines.select("leaf", "k1", "k2", "line", F.posexplode(F.split("masked", " ")).alias("place", "token"))
+    counts = placed.groupBy("leaf", "place", "token", "k1", "k2").agg(F.count(F.lit(1)).alias("lines"))
+    counts = counts.groupBy("leaf", "place", "token").agg(F.count(F.lit(1)).alias("n"), F.sum("lines").alias("lines"))
+    sizes = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("size"))
+    usual = counts.filter(F.col("n") >= min_docs).join(sizes, "leaf").filter("lines < size")
+    weights = usual.groupBy("leaf", "place").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("weight"))
+    best = weights.groupBy("leaf").agg(F.max_by("place", F.struct("weight", -F.col("place"))).alias("at"))
+    parts = usual.join(best, "leaf").filter("place = at").select("leaf", "token", F.lit(True).alias("usual"))
+    dealt = lines.join(best, "leaf").withColumn("token", F.element_at(F.split("masked", " "), F.col("at") + 1))
+    dealt = dealt.join(parts, ["leaf", "token"], "left")
+    part = F.xxhash64("leaf", "at", F.when(F.col("usual"), F.col("token")))
+    return dealt.withColumn("leaf", part).select(*lines.columns)
+
+
 def line_templates(
     lines: DataFrame, scratch: Scratch, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY
 ) -> tuple[DataFrame, DataFrame]:
@@ -174,8 +197,10 @@ def line_templates(
         shown = F.array_join("template", " ", FIELD.decode())
         named.append(hits.groupBy("leaf").agg(F.min(shown).alias("template")).select("template"))
         gone = hits.select("k1", "k2", "line")
-        rest = rest.join(found, "leaf", "left_semi").join(gone, ["k1", "k2", "line"], "left_anti")
-        rest = scratch.stored(rest.join(recurring(rest, "leaf", min_docs), "leaf", "left_semi"), "templates-rest")
+        left = rest.join(found, "leaf", "left_semi").join(gone, ["k1", "k2", "line"], "left_anti")
+        parted = split_leaves(rest.join(found, "leaf", "left_anti"), min_docs)
+        left = scratch.stored(left.unionByName(parted), "templates-left")
+        rest = scratch.stored(left.join(recurring(left, "leaf", min_docs), "leaf", "left_semi"), "templates-rest")
     rows, texts = dropped[0], named[0]
     for more, names in zip(dropped[1:], named[1:]):
         rows, texts = rows.unionByName(more), texts.unionByName(names)

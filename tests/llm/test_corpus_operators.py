@@ -152,6 +152,20 @@ def test_boilerplate_whose_own_hash_is_small_is_dropped(make_docs):
     assert {r.doc_id: r.text for r in templates.drop_lines(make_docs(near)).collect()} == {i: t for i, t, _, _ in near}
 
 
+def test_templates_that_share_a_leaf_are_dropped(make_docs):
+    names = [a + b for a in ("an", "be", "cor", "da", "el") for b in ("na", "lo", "mir", "ta", "vin")]
+    kinds = ["user {} has now signed in again", "order {} was sent to the customer", "payment {} failed for lack of funds"]
+    alone = "backup {} ended without any error today"
+    rows = []
+    for i in range(75):
+        lines = [prose(i), f"2024-05-{i % 28 + 1} 10:{i % 60} {i} " + kinds[i % 3].format(names[i // 3])]
+        if i % 8 == 0:
+            lines.append(f"2024-06-{i % 28 + 1} 11:{i % 60} {i} " + alone.format(names[i // 3]))
+        rows.append((i, "\n".join(lines), "en", "a"))
+    got = {r.doc_id: r.text for r in templates.drop_lines(make_docs(rows)).collect()}
+    assert got == {i: prose(i) for i in range(75)}
+
+
 def test_repeated_passages(make_docs, odd_docs, no_docs):
     passage = ". ".join(" ".join(f"p{s}w{i}" for i in range(9)) for s in range(7)) + "."
     rows = [(i, " ".join(f"d{i}x{j}" for j in range(40)) + ".\n" + (f"Glued head of {i} " + passage if i % 2 else passage) + f"\nTail of {i} alone.", "en", "a") for i in range(6)]
