@@ -16,6 +16,8 @@ from ledgerlens.session import work_dir
 
 # A word is a run of anything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+# Characters of scripts that set no space between words: Thai to Burmese, Khmer, kana, Han.
+UNSPACED = "\u0e00-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U000323af"
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 

@@ -25,9 +25,13 @@ from every document.
 All counts are sums by hash that are combined before the shuffle; no leaf or
 template is gathered in a task. Templates are joined back by hash.
 
-Defined cases: a null text stays null, an empty one empty; lines of fewer
-than ``MIN_TOKENS`` tokens, which unrelated texts share by chance, are never
-dropped; rows that agree in doc_id and text count once and are treated alike.
+Lines of fewer than ``MIN_TOKENS`` tokens are counted by their form alone and
+need ``SHORT_FACTOR`` times as many origins, as unrelated texts share them by
+chance; they keep their digits if nothing else is left. In scripts without
+spaces two characters count as a token, and of a token only the digits vary.
+
+Defined cases: a null text stays null, an empty one empty; lines of white space
+stay; rows that agree in doc_id and text count once and are treated alike.
 """
 
 from __future__ import annotations
@@ -40,14 +44,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import DOCUMENT_COLUMNS, Scratch, map_frames, small_frames, stored, within_broadcast
+from ledgerlens.llm.common import DOCUMENT_COLUMNS, UNSPACED, Scratch, map_frames, small_frames, stored, within_broadcast
 
 DEPTH = 3
 SIMILARITY = 0.7
 MIN_DOCS = 5
 MIN_TOKENS = 3
+SHORT_FACTOR = 4
 FIELD = b"<*>"
 DIGIT = re.compile(rb"[0-9]")
+DIGITS = re.compile(rb"[0-9]+")
+UNSPACED_CHARACTER = re.compile(f"[{UNSPACED}]")
 LARGEST = (1 << 63) - 1
 
 
@@ -55,8 +62,19 @@ def document_keys() -> list[Column]:
     return [F.xxhash64("doc_id", "text").alias("k1"), F.hash("text", "doc_id").alias("k2")]
 
 
+def unspaced(token: bytes) -> int:
+    """Number of characters of scripts that set no spaces."""
+    return 0 if token.isascii() else len(UNSPACED_CHARACTER.findall(token.decode("utf-8", "surrogatepass")))
+
+
+def variable(token: bytes) -> bytes:
+    if not DIGIT.search(token):
+        return token
+    return DIGITS.sub(FIELD, token) if unspaced(token) else FIELD
+
+
 def parsed_lines(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(k1, k2, line, masked, leaf, form, raw, size, place): the lines of enough tokens of every document.
+    """(k1, k2, line, masked, leaf, form, raw, size, place, short): the lines with tokens of every document.
 
     ``raw`` is the hash of the line before its fields are masked; ``place`` is 2
     for a document's first line, 1 for others, 0 where the document has the line already.
@@ -70,24 +88,26 @@ def parsed_lines(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                 seen: set[int] = set()
                 for number, line in enumerate(text.encode("utf-8", "surrogatepass").split(b"\n")):
                     tokens = line.split()
-                    if len(tokens) < MIN_TOKENS:
+                    if not tokens:
                         continue
+                    short = len(tokens) < MIN_TOKENS and len(tokens) + unspaced(line) // 2 < MIN_TOKENS
                     masked = b" ".join(tokens)
                     raw = form = signed_hash(masked)
                     if DIGIT.search(line):
-                        tokens = [FIELD if DIGIT.search(token) else token for token in tokens]
+                        fields = [variable(token) for token in tokens]
+                        tokens = tokens if short and all(field == FIELD for field in fields) else fields
                         masked = b" ".join(tokens)
                         form = signed_hash(masked)
                     leaf = signed_hash(b"%d %b" % (len(tokens), b" ".join(tokens[:depth])))
-                    rows.append((k1, k2, number, masked, leaf, form, raw, len(line), 0 if raw in seen else 1 if seen else 2))
+                    rows.append((k1, k2, number, masked, leaf, form, raw, len(line), 0 if raw in seen else 1 if seen else 2, short))
                     seen.add(raw)
             if not rows:
                 continue
-            out = pd.DataFrame(rows, columns=["k1", "k2", "line", "masked", "leaf", "form", "raw", "size", "place"])
+            out = pd.DataFrame(rows, columns=["k1", "k2", "line", "masked", "leaf", "form", "raw", "size", "place", "short"])
             out["masked"] = [m.decode("utf-8", "surrogatepass") for m in out["masked"]]
             yield out
 
-    return map_frames(source, run, "k1 long, k2 int, line int, masked string, leaf long, form long, raw long, size int, place byte")
+    return map_frames(source, run, "k1 long, k2 int, line int, masked string, leaf long, form long, raw long, size int, place byte, short boolean")
 
 
 def signed_hash(data: bytes) -> int:
@@ -127,7 +147,7 @@ def with_origins(lines: DataFrame, forms: DataFrame, leaves: DataFrame, scratch:
     shared_left = F.col("shared_size") - F.when(F.col("shared"), F.col("size")).otherwise(0)
     own_left = F.col("own_size") - F.when(F.col("shared"), 0).otherwise(F.col("size"))
     origin = F.coalesce(F.when(shared_left > own_left, other("shared")).otherwise(other("own")), F.lit(0))
-    columns = ["k1", "k2", "line", "masked", "leaf", "form", F.coalesce("often", F.lit(False)).alias("often")]
+    columns = ["k1", "k2", "line", "masked", "leaf", "form", "short", F.coalesce("often", F.lit(False)).alias("often")]
     return wanted.join(documents, ["k1", "k2"]).select(*columns, origin.alias("origin"))
 
 
@@ -175,12 +195,14 @@ def line_templates(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows of ``lines`` to drop as k1, k2, line; the templates found)."""
     often = within_broadcast(scratch.stored(frequent(lines, "form", min_docs), "templates-often"))
-    busy = within_broadcast(scratch.stored(frequent(lines, "leaf", min_docs), "templates-busy"))
+    busy = within_broadcast(scratch.stored(frequent(lines.filter("NOT short"), "leaf", min_docs), "templates-busy"))
     lines = scratch.stored(with_origins(lines, often, busy, scratch, min_docs), "templates-origins")
-    forms = within_broadcast(scratch.stored(recurring(lines.filter("often"), "form", min_docs), "templates-forms"))
+    usual = recurring(lines.filter("often AND NOT short"), "form", min_docs)
+    short = recurring(lines.filter("often AND short"), "form", SHORT_FACTOR * min_docs)
+    forms = within_broadcast(scratch.stored(usual.unionByName(short), "templates-forms"))
     dropped = [lines.join(forms, "form", "left_semi").select("k1", "k2", "line")]
     named = [lines.join(forms, "form", "left_semi").groupBy("form").agg(F.min("masked").alias("template")).select("template")]
-    lines = lines.join(forms, "form", "left_anti")
+    lines = lines.filter("NOT short").join(forms, "form", "left_anti")
     leaves = within_broadcast(scratch.stored(recurring(lines, "leaf", min_docs), "templates-leaves"))
     rest = scratch.stored(lines.join(leaves, "leaf", "left_semi"), "templates-rest")
     while rest.head(1):

@@ -166,6 +166,12 @@ def test_templates_that_share_a_leaf_are_dropped(make_docs):
     assert got == {i: prose(i) for i in range(75)}
 
 
+def test_short_and_unspaced_lines_are_dropped(make_docs):
+    rows = [(i, f"{prose(i)}\nRead more\nPage {i}\n版权所有不得转载" + (f"\n共{i}条评论信息\n" if i < 6 else "\n") + ("Log in" if i < 6 else str(i % 2)), "en", "a") for i in range(24)]
+    got = {r.doc_id: r.text for r in templates.drop_lines(make_docs(rows)).collect()}
+    assert got == {i: prose(i) + ("\nLog in" if i < 6 else f"\n{i % 2}") for i in range(24)}
+
+
 def test_repeated_passages(make_docs, odd_docs, no_docs):
     passage = ". ".join(" ".join(f"p{s}w{i}" for i in range(9)) for s in range(7)) + "."
     rows = [(i, " ".join(f"d{i}x{j}" for j in range(40)) + ".\n" + (f"Glued head of {i} " + passage if i % 2 else passage) + f"\nTail of {i} alone.", "en", "a") for i in range(6)]
