@@ -170,6 +170,19 @@ def majority_templates(lines: DataFrame) -> DataFrame:
     return best.groupBy("leaf").agg(template.alias("template"))
 
 
+def promising(lines: DataFrame, min_docs: int, similarity: float) -> DataFrame:
+    """The lines that a recurring template of their leaf can match.
+
+    A template's token stands in more than half of ``min_docs`` forms or more,
+    so a line needs ``similarity`` of its tokens to be at least that usual.
+    """
+    placed = lines.select("leaf", "k1", "k2", "line", F.size(F.split("masked", " ")).alias("size"), F.posexplode(F.split("masked", " ")).alias("place", "token"))
+    usual = placed.groupBy("leaf", "place", "token").agg(F.count(F.lit(1)).alias("n")).filter(2 * F.col("n") > min_docs).drop("n")
+    met = placed.join(usual, ["leaf", "place", "token"]).groupBy("k1", "k2", "line").agg(F.count_distinct("place").alias("met"), F.max("size").alias("size"))
+    kept = met.filter(F.col("met") >= similarity * F.col("size")).select("k1", "k2", "line")
+    return lines.join(kept, ["k1", "k2", "line"], "left_semi")
+
+
 def split_leaves(lines: DataFrame, min_docs: int) -> DataFrame:
     """Lines with the number of the part of their leaf that they belong to; leaves of one part are left out.
 
@@ -204,7 +217,7 @@ def line_templates(
     named = [lines.join(forms, "form", "left_semi").groupBy("form").agg(F.min("masked").alias("template")).select("template")]
     lines = lines.filter("NOT short").join(forms, "form", "left_anti")
     leaves = within_broadcast(scratch.stored(recurring(lines, "leaf", min_docs), "templates-leaves"))
-    rest = scratch.stored(lines.join(leaves, "leaf", "left_semi"), "templates-rest")
+    rest = scratch.stored(promising(lines.join(leaves, "leaf", "left_semi"), min_docs, similarity), "templates-rest")
     while rest.head(1):
         templates = majority_templates(rest)
         tokens = F.split("masked", " ")
@@ -215,13 +228,13 @@ def line_templates(
         matched = scratch.stored(near.filter("near"), "templates-matched")
         found = scratch.stored(recurring(matched, "leaf", min_docs), "templates-found")
         hits = matched.join(found, "leaf", "left_semi")
-        dropped.append(hits.select("k1", "k2", "line"))
+        gone = scratch.stored(hits.select("k1", "k2", "line"), "templates-gone")
+        dropped.append(gone)
         shown = F.array_join("template", " ", FIELD.decode())
         named.append(hits.groupBy("leaf").agg(F.min(shown).alias("template")).select("template"))
-        gone = hits.select("k1", "k2", "line")
         left = rest.join(found, "leaf", "left_semi").join(gone, ["k1", "k2", "line"], "left_anti")
         parted = split_leaves(rest.join(found, "leaf", "left_anti"), min_docs)
-        left = scratch.stored(left.unionByName(parted), "templates-left")
+        left = scratch.stored(promising(left.unionByName(parted), min_docs, similarity), "templates-left")
         rest = scratch.stored(left.join(recurring(left, "leaf", min_docs), "leaf", "left_semi"), "templates-rest")
     rows, texts = dropped[0], named[0]
     for more, names in zip(dropped[1:], named[1:]):
