@@ -6,8 +6,9 @@ passage gives the same units wherever it stands. Units are normalised (lower
 case, words joined by one space) and hashed to 128 bits. Of equal units the one
 in the document that ranks first (smallest doc_id) stays; within that document
 the first. Others are marked, marked units that touch are joined to spans, and
-spans of at least ``MIN_WORDS`` words are reported with their offsets (code
-points) in the original text.
+all spans are reported with their offsets (code points) in the original text;
+``min_words`` leaves shorter ones out. A character of a script without spaces
+counts as a word.
 
 Digests are counted by key with sums combined before the shuffle; the join back
 to the units has one row per digest on its small side, so that Spark can split a
@@ -29,13 +30,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import map_frames, small_frames, stored
+from ledgerlens.llm.common import UNSPACED, map_frames, small_frames, stored
 
 UNIT_WORDS = 8
-MIN_WORDS = 20
 LAST_RANK = (1 << 63) - 1
-BORDER = re.compile(r"[\n\r  ]+|(?<=[.!?。])\s+")
-TOKEN = re.compile(r"\w+")
+BORDER = re.compile(r"[\n\r  ]+|(?<=[.!?。])\s+|(?<=[。！？])")
+TOKEN = re.compile(rf"[{UNSPACED}]|[^\W{UNSPACED}]+")
 
 
 def text_units(text: str, unit_words: int = UNIT_WORDS) -> list[tuple[int, int, int, int, bytes]]:
@@ -87,7 +87,7 @@ def unit_table(docs: DataFrame, unit_words: int = UNIT_WORDS) -> DataFrame:
     return map_frames(source, run, "rank long, start int, end int, first int, last int, d1 long, d2 long, again boolean")
 
 
-def repeated_spans(docs: DataFrame, unit_words: int = UNIT_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_spans(docs: DataFrame, unit_words: int = UNIT_WORDS, min_words: int = 0) -> DataFrame:
     """(doc_id, start, end, n_words, first_doc_id): what to remove, and the document that keeps it."""
     units = stored(unit_table(docs, unit_words), "units")
     repeats = units.groupBy("d1", "d2").agg(F.min("rank").alias("kept"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")

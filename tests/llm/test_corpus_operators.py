@@ -189,6 +189,15 @@ def test_repeated_passages(make_docs, odd_docs, no_docs):
     assert units.repeated_spans(odd_docs).collect() == [] and units.repeated_spans(no_docs).collect() == []
 
 
+def test_short_repeats_are_reported(make_docs):
+    short, clause = "This page may be copied under the usual license terms.", "本站内容未经许可不得转载。"
+    rows = [(i, f"{' '.join(f'o{i}x{j}' for j in range(30))}.\n{short}\n{chr(0x4E10 + i) * 9}。{clause}{chr(0x5E10 + i) * 9}。", "en", "a") for i in range(3)]
+    docs, texts = make_docs(rows), {r[0]: r[1] for r in rows}
+    got = sorted((r.doc_id, texts[r.doc_id][r.start : r.end], r.n_words, r.first_doc_id) for r in units.repeated_spans(docs).collect())
+    assert got == [(i, *x, 0) for i in (1, 2) for x in ((short, 10), (clause, 12))]
+    assert units.repeated_spans(docs, min_words=11).count() == 2
+
+
 def shared_targets(sizes, weights):
     """Shares by weight, the excess over three times the size reshared until none is above."""
     total, capped = sum(sizes.values()), {}
