@@ -4,8 +4,8 @@ The model is a bigram model with absolute discounting over an add-one unigram:
 
     p(w | v) = max(c(v w) - D, 0) / c(v) + b(v) * p1(w),   p1(w) = (c(w) + 1) / (N + V + 1)
 
-where only pairs seen ``MIN_COUNT`` times or more have the first term and b(v)
-gives the rest of the mass, so the probabilities of all words (one of them
+where every pair seen has the first term (``MIN_COUNT`` is 1) and b(v) gives
+the rest of the mass, so the probabilities of all words (one of them
 standing for all unseen) sum to one. In logarithms a token costs log p1(w), plus
 log b(v) for its context, plus, if the pair is in the model, a gain that makes
 up the difference. So a text's score is a sum over its tokens of
@@ -45,7 +45,7 @@ from ledgerlens.llm.elias_fano import Trie
 
 SHARD_TOKENS = 2_000_000
 CHUNK_CHARACTERS = 8_000_000
-MIN_COUNT = 2
+MIN_COUNT = 1
 DISCOUNT = 0.75
 # Neither can be a word, as both hold a space.
 END = xxhash.xxh3_64_intdigest(b"end of text")

@@ -12,6 +12,7 @@ import public_tokenizers
 import tiktoken
 from conftest import SF_DIR
 from odd_documents import make_docs, no_docs, odd_docs  # noqa: F401
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import bpe, langid, lm, suffix_rules
 from ledgerlens.llm.common import table
@@ -202,3 +203,10 @@ def test_language_model_scores(spark, no_docs, odd_docs):
     assert sum(g[5] for g in got if g[3]) > sum(g[4] for g in got if g[3])  # better than the base on held-out texts
     assert lm.fit_and_score(no_docs).collect() == []
     assert lm.fit_and_score(odd_docs).count() == odd_docs.count()
+
+
+def test_pairs_seen_once_are_in_the_model(make_docs):
+    docs = make_docs([(i, f"left{i} right{i}", "en", "a") for i in range(30)]).withColumn("held_out", F.lit(False))
+    asked = make_docs([(0, "left3 right3", "en", "a"), (1, "left3 right4", "en", "a")]).withColumn("held_out", F.lit(True))
+    seen, unseen = sorted((r.doc_id, r.score) for r in lm.score(asked, lm.train(docs)).collect())
+    assert seen[1] > unseen[1] + 0.3
