@@ -15,15 +15,14 @@ from ledgerlens.llm import bpe, langid, mixing, parity_join, templates
 from ledgerlens.llm.common import DOCUMENT_COLUMNS, stored, table
 from ledgerlens.llm.queries import BPE_RANKS
 
-MIN_LANGUAGE_SCORE = 0.5
 # Near duplicates in the pipeline: five words a shingle, 80 % of the union shared.
 SHINGLE_WORDS, SHARED_PERCENT = 5, 80
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject documents without a letter or without a main language; ``lang`` becomes the predicted one."""
+    """Reject documents without a language; ``lang`` becomes the main one, also of mixed texts."""
     found = langid.fit_and_predict(docs, DOCUMENT_COLUMNS)
-    kept = found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
+    kept = found.filter(F.col("lang_pred") != langid.UNKNOWN)
     return kept.withColumn("lang", F.col("lang_pred")).select(*DOCUMENT_COLUMNS)
 
 

@@ -299,3 +299,12 @@ def test_pipeline(spark, odd_docs, no_docs):
     for _, stage in corpus_pipeline.STAGES:
         empty = stored(stage(spark, empty, SF_DIR), "test-stage")
     assert empty.count() == 0
+
+
+def test_mixed_texts_keep_their_main_language(spark, make_docs):
+    docs = table(spark, SF_DIR, "documents").select(*DOCUMENT_COLUMNS)
+    texts = {r.lang: r.text for r in docs.filter("lang IS NOT NULL AND n_chars BETWEEN 400 AND 3000").collect()}
+    mixed = "\n".join(text[:n] for text, n in zip([texts[k] for k in sorted(texts)][:3], (400, 300, 300)))
+    both = docs.unionByName(make_docs([(10**9, mixed, None, "a")]).select(*DOCUMENT_COLUMNS))
+    kept = corpus_pipeline.language_stage(spark, both, SF_DIR).filter(F.col("doc_id") == 10**9).collect()
+    assert [r.text for r in kept] == [mixed] and kept[0].lang in texts
