@@ -59,7 +59,7 @@ def scored_files(spark: SparkSession, sf_dir: str) -> str:
     """The rule-scored transactions, a file or more per category, with one damaged file among them."""
     path = work_dir(spark, "scored-files")
     output = rule_output(transactions(spark, sf_dir))
-    output.repartition("merchant_category").write.parquet(path)
+    output.hint("rebalance", F.col("merchant_category")).write.parquet(path)
     spark.range(1, numPartitions=1).select(F.lit("cut off while it was written")).write.mode("append").text(path)
     return path
 

@@ -139,3 +139,19 @@ def test_session_and_work_dir(spark):
 
 def test_inputs_are_left_alone():
     assert sorted(p.name for p in Path(SF_DIR).iterdir())[0] == "benchmark.parquet"
+
+
+def test_a_hot_category_is_written_by_several_tasks(spark, tx, monkeypatch):
+    from ledgerlens.plans import inputs
+
+    many = tx.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(8)))).drop("copy").repartition(8)
+    monkeypatch.setattr(inputs, "transactions", lambda spark, sf_dir: many)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    spark.conf.set("spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor", "0.05")
+    try:
+        path = inputs.scored_files(spark, SF_DIR)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).count()
+    assert files > many.select("merchant_category").distinct().count()
