@@ -17,7 +17,7 @@ from ledgerlens.llm.components import components
 from ledgerlens.llm.queries import ORACLE_SQL, QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-NAMES = [f"op{n}_" for n in range(1, 11)]
+NAMES = [f"op{n}_" for n in range(1, 14)]
 
 
 def test_one_query_per_operator():
