@@ -86,11 +86,12 @@ def history_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, and files read and passed over, of a scored table with a damaged file."""
     path = inputs.scored_files(spark, sf_dir)
-    loaded = tables.load_scored(spark, path, skip_unreadable=True)
+    schema = scoring.rule_output(transactions(spark, sf_dir)).schema
+    loaded = tables.load_scored(spark, path, skip_unreadable=True, schema=schema)
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     alert = F.col("predicted_fraud").cast("long")
     rows = loaded.select(one.alias("transactions"), alert.alias("alerts"), zero.alias("skipped"))
-    lost = tables.skipped_files(spark, path).select(zero.alias("transactions"), zero.alias("alerts"), one.alias("skipped"))
+    lost = tables.skipped_files(spark, path, schema).select(zero.alias("transactions"), zero.alias("alerts"), one.alias("skipped"))
     return rows.unionByName(lost).agg(*[F.sum(c).alias(c) for c in rows.columns])
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.schema import MERCHANT_CATEGORIES, MERCHANT_SCHEMA, NARROW_COLUMNS, TRANSACTION_SCHEMA
 
@@ -46,26 +47,34 @@ def scan_partitions(df: DataFrame) -> int:
     return df.rdd.getNumPartitions()
 
 
-def load_scored(spark: SparkSession, path: str, skip_unreadable: bool = False) -> DataFrame:
+def load_scored(
+    spark: SparkSession, path: str, skip_unreadable: bool = False, schema: T.StructType | str | None = None
+) -> DataFrame:
     """Read all Parquet files of a scored table.
 
     A damaged file ends the job, unless ``skip_unreadable`` asks to pass over
-    such files; ``skipped_files`` then names them.
+    such files; ``skipped_files`` then names them. Without a ``schema`` the
+    columns are then taken from all readable files together, not from the first
+    file, which may be a damaged one; a table of damaged files only needs one.
     """
     reader = spark.read
     if skip_unreadable:
         reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+    if schema is not None:
+        reader = reader.schema(schema)
+    elif skip_unreadable:
+        reader = reader.option("mergeSchema", "true")
     df = reader.parquet(path)
     if "timestamp" in df.columns:
         df = df.withColumn("timestamp", F.col("timestamp").try_cast("timestamp"))
     return df
 
 
-def skipped_files(spark: SparkSession, path: str) -> DataFrame:
+def skipped_files(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """(file) for each file of the table from which ``skip_unreadable`` gets no row; empty files count as such."""
     name = F.col("_metadata.file_path").alias("file")
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(name)
-    read = load_scored(spark, path, skip_unreadable=True).select(name).distinct()
+    read = load_scored(spark, path, skip_unreadable=True, schema=schema).select(name).distinct()
     return listed.join(read, "file", "left_anti")
 
 

@@ -27,6 +27,6 @@ assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == limit
 
 
 def test_queries_run_in_a_plain_session():
-    env = os.environ | {"PYTHONPATH": f"{ROOT}:{ROOT / 'tests'}"}
+    env = os.environ | {"PYTHONPATH": os.pathsep.join([str(ROOT), str(ROOT / "tests"), *filter(None, sys.path)])}
     done = subprocess.run([sys.executable, "-c", SCRIPT], env=env, cwd=ROOT, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-3000:]

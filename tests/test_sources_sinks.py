@@ -124,6 +124,20 @@ def test_load_scored_passes_over_broken_files(spark, tmp_path):
     assert got.count() == 20 and dict(got.dtypes)["timestamp"] == "timestamp"
 
 
+@pytest.mark.parametrize("name", ["part-00000-0.parquet", "part-00000-z.parquet", "part-zz.parquet"])
+def test_damaged_file_first_last_and_alone(spark, tmp_path, name):
+    path, df = tmp_path / "scored", table(spark, bursts(20, 1))
+    path.mkdir()
+    (path / name).write_bytes(b"not parquet")
+    alone = tables.load_scored(spark, str(path), skip_unreadable=True, schema=df.schema)
+    assert alone.count() == 0 and set(alone.columns) == set(df.columns)
+    assert tables.skipped_files(spark, str(path), df.schema).count() == 1
+    df.repartition(3).write.mode("append").parquet(str(path))
+    for schema in (None, df.schema):
+        assert tables.load_scored(spark, str(path), skip_unreadable=True, schema=schema).count() == 20
+        assert [Path(r.file).name for r in tables.skipped_files(spark, str(path), schema).collect()] == [name]
+
+
 def test_view_scan(spark):
     df = table(spark, [row(1, "U", 0), row(2, "U", 1)])
     tables.register_view(df, "scored_view")
