@@ -13,15 +13,16 @@ from pyspark.sql import types as T
 
 from ledgerlens.functions import features as feat
 from ledgerlens.functions import rules
-from ledgerlens.operators import history, investigation, model, monitoring, patterns, scoring
+from ledgerlens.operators import asof, history, investigation, labels, model, monitoring, patterns, scoring
 from ledgerlens.plans import inputs
 from ledgerlens.schema import MODEL_FEATURES, NARROW_COLUMNS, TRANSACTION_COLUMNS
 from ledgerlens.session import work_dir
 from ledgerlens.sinks import batch as batch_sink
 from ledgerlens.sinks import stream as stream_sink
 from ledgerlens.sources import messages, tables
-from ledgerlens.sources.events import transaction_stream, transactions
+from ledgerlens.sources.events import confirmations_of, transaction_stream, transactions
 from ledgerlens.streaming import behaviour, windows
+from ledgerlens.streaming import labels as label_streams
 from ledgerlens.streaming.lifecycle import drain
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,6 +169,11 @@ on_transactions("feat_location", with_id(history.location_features, *TRAVEL), di
 on_transactions("feat_device", with_id(history.device_features, *DEVICE))
 on_transactions("user_window_stats", history.user_window_stats, **WINDOW_DIGITS)
 on_transactions("feat_user_window", with_id(history.user_window_features, "window_start", *WINDOW_STATS), **WINDOW_DIGITS)
+on_transactions(
+    "feat_asof_window",
+    with_id(asof.asof_features, "asof_window_start", "asof_age_seconds", *asof.STATISTICS),
+    asof_avg_amount=6, asof_std_amount=6, asof_total_amount=6,
+)
 on_transactions(
     "feat_behavioural_set",
     with_id(
@@ -411,6 +417,33 @@ def stream_behavioural(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(_to_parquet(stream, "behaviour"), distance_from_prev=6)
 
 
+OUTCOME = [
+    "transaction_id", "timestamp", "amount", "predicted_fraud", "outcome", "confirmed_at",
+    "true_positive", "false_positive", "true_negative", "false_negative",
+]
+
+
+@registered
+def late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tx = transactions(spark, sf_dir)
+    return tidy(labels.confirmed_outcomes(scoring.score_rules(tx), confirmations_of(tx)).select(*OUTCOME))
+
+
+@registered
+def late_label_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tx = transactions(spark, sf_dir)
+    told = labels.confirmed_outcomes(scoring.score_rules(tx), confirmations_of(tx))
+    return tidy(labels.outcome_report(told), total_amount=4, avg_delay_hours=6)
+
+
+@registered
+def stream_late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores and confirmations as two streams; open transactions stay in the state."""
+    scored = scoring.score_rules(transaction_stream(spark, sf_dir, **INTAKE))
+    told = label_streams.outcome_stream(scored, confirmations_of(transaction_stream(spark, sf_dir, **INTAKE)))
+    return tidy(_to_parquet(told.select(*OUTCOME), "late_labels"))
+
+
 @registered
 def stream_live_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     kpis = windows.live_kpis(scoring.score_rules(transaction_stream(spark, sf_dir, **INTAKE)))

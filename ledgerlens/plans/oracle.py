@@ -222,6 +222,13 @@ SELECT transaction_id, window_start, txn_count_window, avg_amount_window, max_am
   coalesce(std_amount_window, 0e0) AS std_amount_window, total_amount_window
 FROM (SELECT *, time_bucket(INTERVAL 1 HOUR, "timestamp", TIMESTAMP '1970-01-01') AS window_start FROM tx) t
 LEFT JOIN stats USING (user_id, window_start)""")
+sql("feat_asof_window", USER_WINDOWS, """
+SELECT transaction_id, window_start AS asof_window_start,
+  CAST(epoch_us("timestamp") // 1000000 - epoch_us(window_start) // 1000000 - 3600 AS BIGINT) AS asof_age_seconds,
+  txn_count_window AS asof_txn_count, avg_amount_window AS asof_avg_amount, max_amount_window AS asof_max_amount,
+  min_amount_window AS asof_min_amount, std_amount_window AS asof_std_amount, total_amount_window AS asof_total_amount
+FROM tx ASOF LEFT JOIN (SELECT *, window_start + INTERVAL 1 HOUR AS closed FROM stats) s
+  ON tx.user_id = s.user_id AND tx."timestamp" >= s.closed""")
 sql("feat_behavioural_set", PAST, """
 SELECT transaction_id, hour_of_day, day_of_week, is_unusual_hour, is_weekend, amount_log, amount_category,
   timestamp_seconds, prev_timestamp, time_since_last_txn, is_rapid_transaction, txn_count_5min, prev_lat, prev_lon,
@@ -508,6 +515,30 @@ sql("stream_user_window", USER_WINDOWS, f"""
 SELECT *, window_start + INTERVAL 1 HOUR AS window_end FROM stats WHERE window_start + INTERVAL 1 HOUR <= {MARK}""")
 sql("stream_behavioural", BEHAVED, BEHAVIOUR_OUTPUT + f"""
  WHERE date_trunc('second', "timestamp") < date_trunc('second', {MARK})""")
+# Confirmations that come within seven days.
+TOLD = SCORED + """,
+told AS (
+  SELECT s.* EXCLUDE (is_fraud), c.label, c.confirmed_at,
+    CASE c.label WHEN 1 THEN 'confirmed' WHEN 0 THEN 'refuted' ELSE 'unconfirmed' END AS outcome
+  FROM scored s LEFT JOIN (
+    SELECT transaction_id, is_fraud AS label, "timestamp" + to_hours(CAST(n * 13 % 200 AS INTEGER)) AS confirmed_at
+    FROM (SELECT *, CAST(substr(transaction_id, 5) AS BIGINT) AS n FROM tx) t WHERE n % 10 < 8
+  ) c ON s.transaction_id = c.transaction_id AND c.confirmed_at <= s."timestamp" + INTERVAL 7 DAY
+)"""
+OUTCOME = """
+SELECT transaction_id, "timestamp", amount, predicted_fraud, outcome, confirmed_at,
+  CASE WHEN label = 1 AND predicted_fraud = 1 THEN 1 ELSE 0 END AS true_positive,
+  CASE WHEN label = 0 AND predicted_fraud = 1 THEN 1 ELSE 0 END AS false_positive,
+  CASE WHEN label = 0 AND predicted_fraud = 0 THEN 1 ELSE 0 END AS true_negative,
+  CASE WHEN label = 1 AND predicted_fraud = 0 THEN 1 ELSE 0 END AS false_negative
+FROM told"""
+sql("late_labels", TOLD, OUTCOME)
+sql("late_label_report", TOLD, """
+SELECT predicted_fraud, outcome, count(*) AS transactions, round(sum(amount), 4) AS total_amount,
+  round(avg((epoch_us(confirmed_at) // 1000000 - epoch_us("timestamp") // 1000000) / 3600e0), 6) AS avg_delay_hours
+FROM told GROUP BY 1, 2""")
+sql("stream_late_labels", TOLD, OUTCOME + f"""
+ WHERE outcome <> 'unconfirmed' OR "timestamp" + INTERVAL 7 DAY < {MARK}""")
 sql("stream_live_kpis", SCORED, """
 SELECT time_bucket(INTERVAL 5 MINUTE, "timestamp", TIMESTAMP '1970-01-01') AS bucket, count(*) AS total,
   count(*) FILTER (WHERE predicted_fraud = 1) AS frauds, round(sum(amount), 4) AS total_amount,
