@@ -22,8 +22,10 @@ ones: lines of copies of one document are not taken for boilerplate. Documents
 without other lines have one origin. Lines of recurring templates are dropped
 from every document.
 
-All counts are sums by hash that are combined before the shuffle; no leaf or
-template is gathered in a task. Templates are joined back by hash.
+All counts are sums by hash that are combined before the shuffle. Leaves of
+more than ``LEAF_ROWS`` lines go through such a round over all of them together
+and are parted by it; one that has become small enough is finished in a task.
+The result does not depend on that limit.
 
 Lines of fewer than ``MIN_TOKENS`` tokens are counted by their form alone and
 need ``SHORT_FACTOR`` times as many origins, as unrelated texts share them by
@@ -37,6 +39,7 @@ stay; rows that agree in doc_id and text count once and are treated alike.
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -44,13 +47,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import DOCUMENT_COLUMNS, UNSPACED, Scratch, map_frames, small_frames, stored, within_broadcast
+from ledgerlens.llm.common import DOCUMENT_COLUMNS, UNSPACED, Scratch, map_frames, ship, small_frames, stored, within_broadcast
 
 DEPTH = 3
 SIMILARITY = 0.7
 MIN_DOCS = 5
 MIN_TOKENS = 3
 SHORT_FACTOR = 4
+# Leaves of at most so many lines and characters are finished in one task.
+LEAF_ROWS, LEAF_CHARACTERS = 100_000, 16_000_000
 FIELD = b"<*>"
 DIGIT = re.compile(rb"[0-9]")
 DIGITS = re.compile(rb"[0-9]+")
@@ -203,8 +208,81 @@ def split_leaves(lines: DataFrame, min_docs: int) -> DataFrame:
     return dealt.withColumn("leaf", part).select(*lines.columns)
 
 
+class Leaf:
+    """Lines of one leaf, with the same steps as the functions above take over all leaves."""
+
+    def __init__(self, rows: list[tuple], min_docs: int, similarity: float):
+        self.rows, self.min_docs, self.similarity = rows, min_docs, similarity  # rows: document, line, tokens, form, origin
+
+    def recurs(self, rows: list[tuple]) -> bool:
+        origins: dict = {}
+        for document, _, _, _, origin in rows:
+            origins[document] = min(origin, origins.get(document, origin))
+        return len(set(origins.values())) >= self.min_docs
+
+    def promising(self, rows: list[tuple]) -> list[tuple]:
+        counts = Counter(placed for row in rows for placed in enumerate(row[2]))
+        return [r for r in rows if sum(2 * counts[placed] > self.min_docs for placed in enumerate(r[2])) >= self.similarity * len(r[2])]
+
+    def template(self, rows: list[tuple]) -> list[bytes | None]:
+        forms = {(form, origin): tokens for _, _, tokens, form, origin in rows}
+        places = zip(*forms.values())
+        best = [Counter(place).most_common(1)[0] for place in places]
+        return [token if 2 * n > len(forms) else None for token, n in best]
+
+    def parts(self, rows: list[tuple]) -> list[list[tuple]]:
+        documents, lines = defaultdict(set), Counter()
+        for document, _, tokens, _, _ in rows:
+            for placed in enumerate(tokens):
+                documents[placed].add(document)
+                lines[placed] += 1
+        usual = {placed: len(found) for placed, found in documents.items() if len(found) >= self.min_docs and lines[placed] < len(rows)}
+        weights: Counter = Counter()
+        for (place, _), n in usual.items():
+            weights[place] += n * n
+        if not weights:
+            return []
+        at = max(weights, key=lambda place: (weights[place], -place))
+        dealt = defaultdict(list)
+        for row in rows:
+            token = row[2][at]
+            dealt[token if (at, token) in usual else None].append(row)
+        return list(dealt.values())
+
+    def rounds(self) -> Iterator[tuple[str, list[tuple]]]:
+        """(template, its lines), until no part has another."""
+        waiting = [self.rows]
+        while waiting:
+            rows = self.promising(waiting.pop())
+            if not rows:
+                continue
+            template = self.template(rows)
+            near = [sum(a == b for a, b in zip(r[2], template)) >= self.similarity * len(r[2]) for r in rows]
+            matched = [r for r, hit in zip(rows, near) if hit]
+            if self.recurs(matched):
+                yield " ".join(FIELD.decode() if token is None else token for token in template), matched
+                left = [[r for r, hit in zip(rows, near) if not hit]]
+            else:
+                left = self.parts(rows)
+            waiting += [part for part in left if self.recurs(part)]
+
+
+def finished(lines: DataFrame, min_docs: int, similarity: float) -> DataFrame:
+    """(k1, k2, line, template): the lines of all templates of leaves that fit into a task; the template once per leaf and round."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        rows = [((a, b), line, masked.split(" "), form, origin) for a, b, line, masked, form, origin in frame[["k1", "k2", "line", "masked", "form", "origin"]].itertuples(index=False)]
+        out = []
+        for template, matched in Leaf(rows, min_docs, similarity).rounds():
+            out += [(*document, line, None if n else template) for n, (document, line, *_) in enumerate(matched)]
+        return pd.DataFrame(out, columns=["k1", "k2", "line", "template"])
+
+    ship(lines.sparkSession)
+    return lines.groupBy("leaf").applyInPandas(run, "k1 long, k2 int, line int, template string")
+
+
 def line_templates(
-    lines: DataFrame, scratch: Scratch, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY
+    lines: DataFrame, scratch: Scratch, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY, leaf_rows: int = LEAF_ROWS
 ) -> tuple[DataFrame, DataFrame]:
     """(rows of ``lines`` to drop as k1, k2, line; the templates found)."""
     often = within_broadcast(scratch.stored(frequent(lines, "form", min_docs), "templates-often"))
@@ -217,8 +295,19 @@ def line_templates(
     named = [lines.join(forms, "form", "left_semi").groupBy("form").agg(F.min("masked").alias("template")).select("template")]
     lines = lines.filter("NOT short").join(forms, "form", "left_anti")
     leaves = within_broadcast(scratch.stored(recurring(lines, "leaf", min_docs), "templates-leaves"))
-    rest = scratch.stored(promising(lines.join(leaves, "leaf", "left_semi"), min_docs, similarity), "templates-rest")
-    while rest.head(1):
+    rest = lines.join(leaves, "leaf", "left_semi")
+    while True:
+        rest = scratch.stored(rest, "templates-rest")
+        sizes = scratch.stored(rest.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("masked")).alias("size")), "templates-sizes")
+        fits = (F.col("n") <= leaf_rows) & (F.col("size") <= LEAF_CHARACTERS)
+        large = sizes.filter(~fits).select("leaf")
+        # A leaf that one task can hold goes through all its rounds there.
+        held = scratch.stored(finished(rest.join(sizes.filter(fits).select("leaf"), "leaf", "left_semi"), min_docs, similarity), "templates-held")
+        dropped.append(held.select("k1", "k2", "line"))
+        named.append(held.filter("template IS NOT NULL").select("template"))
+        if not large.head(1):
+            break
+        rest = scratch.stored(promising(rest.join(large, "leaf", "left_semi"), min_docs, similarity), "templates-large")
         templates = majority_templates(rest)
         tokens = F.split("masked", " ")
         same = F.aggregate(
@@ -234,19 +323,21 @@ def line_templates(
         named.append(hits.groupBy("leaf").agg(F.min(shown).alias("template")).select("template"))
         left = rest.join(found, "leaf", "left_semi").join(gone, ["k1", "k2", "line"], "left_anti")
         parted = split_leaves(rest.join(found, "leaf", "left_anti"), min_docs)
-        left = scratch.stored(promising(left.unionByName(parted), min_docs, similarity), "templates-left")
-        rest = scratch.stored(left.join(recurring(left, "leaf", min_docs), "leaf", "left_semi"), "templates-rest")
+        left = scratch.stored(left.unionByName(parted), "templates-left")
+        rest = left.join(recurring(left, "leaf", min_docs), "leaf", "left_semi")
     rows, texts = dropped[0], named[0]
     for more, names in zip(dropped[1:], named[1:]):
         rows, texts = rows.unionByName(more), texts.unionByName(names)
     return rows.distinct(), texts
 
 
-def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY, depth: int = DEPTH) -> DataFrame:
+def dropped_lines(
+    docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY, depth: int = DEPTH, leaf_rows: int = LEAF_ROWS
+) -> DataFrame:
     """(k1, k2, dropped): line numbers to drop of each document that has any."""
     scratch = Scratch()
     lines = scratch.stored(parsed_lines(docs, depth), "templates-lines")
-    rows, _ = line_templates(lines, scratch, min_docs, similarity)
+    rows, _ = line_templates(lines, scratch, min_docs, similarity, leaf_rows)
     dropped = stored(rows.groupBy("k1", "k2").agg(F.collect_list("line").alias("dropped")), "templates-dropped")
     scratch.clear()
     return dropped

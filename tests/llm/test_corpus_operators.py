@@ -240,6 +240,88 @@ def test_mix(spark, make_docs, odd_docs, no_docs):
     assert mixing.mix_report(no_docs).collect() == [] and mixing.mix_documents(no_docs).collect() == []
 
 
+def plain_dropped(docs, min_docs=5):
+    """Line numbers that go, by (doc_id, text), with every document and line in hand."""
+    lines = []
+    for doc in dict.fromkeys((r.doc_id, r.text) for r in docs if r.text is not None):
+        seen = set()
+        for n, line in enumerate(doc[1].encode().split(b"\n")):
+            tokens = line.split()
+            if not tokens:
+                continue
+            raw, short = b" ".join(tokens), len(tokens) + templates.unspaced(line) // 2 < 3
+            fields = [templates.variable(t) for t in tokens]
+            form = raw if short and all(f == templates.FIELD for f in fields) else b" ".join(fields)
+            leaf = len(tokens), b" ".join(form.split()[:3])
+            lines.append({"doc": doc, "n": n, "raw": raw, "form": form, "leaf": leaf, "size": len(line), "new": raw not in seen, "short": short})
+            seen.add(raw)
+
+    def often(key, rows):
+        return {k for k, c in Counter(r[key] for r in rows if r["new"]).items() if c >= min_docs}
+
+    forms, leaves = often("form", lines), often("leaf", [r for r in lines if not r["short"]])
+    shared = {k for k, c in Counter((r["raw"], r["doc"]) for r in lines if r["form"] in forms and r["new"]).items()}
+    shared = {k for k, c in Counter(raw for raw, _ in shared).items() if c >= min_docs}
+    own = defaultdict(list)
+    for r in lines:
+        own[r["doc"]].append(r)
+    wanted = [r for r in lines if r["form"] in forms or r["leaf"] in leaves]
+    for r in wanted:
+        rest = {kind: [o for o in own[r["doc"]] if o["raw"] != r["raw"] and (o["raw"] in shared) == kind] for kind in (True, False)}
+        size = {kind: sum(o["size"] for o in rows if o["new"]) for kind, rows in rest.items()}
+        other = rest[size[True] > size[False]]
+        r["origin"] = min((templates.signed_hash(o["raw"]) for o in other), default=0)
+
+    def recurs(rows, least):
+        origins = {}
+        for r in rows:
+            origins[r["doc"]] = min(r["origin"], origins.get(r["doc"], r["origin"]))
+        return len(set(origins.values())) >= least
+
+    gone, groups = defaultdict(set), defaultdict(list)
+    for r in wanted:
+        if r["form"] in forms:
+            groups[r["form"], r["short"]].append(r)
+    found = {k for k, rows in groups.items() if recurs(rows, min_docs * (4 if k[1] else 1))}
+    by_leaf = defaultdict(list)
+    for r in wanted:
+        if (r["form"], r["short"]) in found:
+            gone[r["doc"]].add(r["n"])
+        elif not r["short"]:
+            by_leaf[r["leaf"]].append(r)
+    for rows in by_leaf.values():
+        if recurs(rows, min_docs):
+            listed = [(r["doc"], r["n"], r["form"].decode().split(" "), r["form"], r["origin"]) for r in rows]
+            for _, matched in templates.Leaf(listed, min_docs, templates.SIMILARITY).rounds():
+                for doc, n, *_ in matched:
+                    gone[doc].add(n)
+    return gone
+
+
+def test_dropped_lines_of_a_whole_table(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    gone = plain_dropped(docs.collect())
+    got = templates.drop_lines(docs, ["doc_id"]).collect()
+    want = Counter()
+    for r in docs.collect():
+        drop = gone.get((r.doc_id, r.text), ())
+        want[r.doc_id, None if r.text is None else "\n".join(line for n, line in enumerate(r.text.split("\n")) if n not in drop), len(drop)] += 1
+    assert Counter((r.doc_id, r.text, r.n_dropped) for r in got) == want and sum(map(len, gone.values())) > 100
+
+
+def test_leaves_go_the_same_way_in_one_task_or_over_all(spark, make_docs):
+    """Four templates in one leaf, lines that belong to none, with and without the limit."""
+    names = [f"name{c}" for c in "abcdefghijklmnopqrstuvwxyz"]
+    rows = []
+    for i in range(60):
+        kind = ("left the red room", "came to old town", "was seen at sea", "had no more time")[i % 4]
+        lines = [f"own text number {i} {names[i % 26]} {names[i * 7 % 26]} x{i}", f"the guest {names[i % 26]} {kind} {names[i * 5 % 26]}", f"the guest {names[i % 26]} some thing else {names[i * 3 % 26]} {i}"]
+        rows.append((i, "\n".join(lines), "en", "a"))
+    docs = make_docs(rows)
+    found = [{(r.k1, r.k2, tuple(sorted(r.dropped))) for r in templates.dropped_lines(docs, leaf_rows=limit).collect()} for limit in (100_000, 12, 0)]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 60
+
+
 def test_permutation_is_one_to_one(spark):
     for size in (1, 2, 7, 1000):
         out = spark.range(size).select(mixing.permuted(F.col("id"), F.lit(size), F.lit(3)).alias("p")).collect()
