@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import map_frames, small_frames
 
 NO_PARENT = 1 << 60
-CACHED = 1_000_000  # pieces and token pairs that a Python worker remembers
+CACHED = 250_000  # pieces and token pairs that a task remembers
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -158,6 +158,11 @@ class Vocabulary:
         rank = self.ranks.get(piece)
         return [rank] if rank is not None else self.walk_back(self.extend(piece, []))
 
+    def forget(self) -> None:
+        """Empty the caches, which only save time."""
+        self.known.clear()
+        self.pairs.clear()
+
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -243,12 +248,17 @@ def _encoded(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...], di
     extra = ["n_tokens long", "ids_sha256 string", "decoded_sha256 string"] if digest else ["ids array<int>", "decoded binary"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary, cut = _vocabulary(_local(path)), regex.compile(pattern)
-        known = vocabulary.known
+        vocabulary = _vocabulary(_local(path))
+        try:
+            yield from encoded_frames(frames, vocabulary)
+        finally:  # the worker goes on to tasks of other kinds
+            vocabulary.forget()
+
+    def encoded_frames(frames: Iterator[pd.DataFrame], vocabulary: Vocabulary) -> Iterator[pd.DataFrame]:
+        known, cut = vocabulary.known, regex.compile(pattern)
         for frame in small_frames(frames, "t"):
-            if len(known) + len(vocabulary.pairs) > CACHED:  # the caches only save time
-                known.clear()
-                vocabulary.pairs.clear()
+            if len(known) + len(vocabulary.pairs) > CACHED:
+                vocabulary.forget()
             out = frame.drop(columns="t")
             rows = []
             cuts = [cut.findall(text) if text else [] for text in frame["t"]]
