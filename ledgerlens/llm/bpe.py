@@ -253,6 +253,7 @@ def _encoded(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...], di
             yield from encoded_frames(frames, vocabulary)
         finally:  # the worker goes on to tasks of other kinds
             vocabulary.forget()
+            _vocabulary.cache_clear()
 
     def encoded_frames(frames: Iterator[pd.DataFrame], vocabulary: Vocabulary) -> Iterator[pd.DataFrame]:
         known, cut = vocabulary.known, regex.compile(pattern)

@@ -9,6 +9,8 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +68,12 @@ def map_frames(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[p
     return df.mapInPandas(run, schema)
 
 
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow with this package at hand in the workers: columns need not become Python objects."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a DataFrame to the shared work folder and return the written table.
 
@@ -89,10 +97,16 @@ class Scratch:
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
     def clear(self) -> None:
-        """Delete the tables, through Hadoop's file system: the shared folder may be in any store."""
+        """Delete the tables, through Hadoop's file system: the shared folder may be in any store.
+
+        Spark removes the shuffle files they were made of when the driver
+        collects its garbage; without a request that may be hours later.
+        """
         for spark, path in self.kept:
             folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        if self.kept:
+            self.kept[0][0].sparkContext._jvm.System.gc()
         self.kept.clear()
 
 
@@ -116,3 +130,15 @@ def small_frames(frames: Iterator[pd.DataFrame], text: str, limit: int = 4_000_0
         for end in [*((piece[1:] != piece[:-1]).nonzero()[0] + 1), len(frame)]:
             yield frame.iloc[start:end]
             start = end
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches into slices of about ``limit`` bytes of text (one row at least)."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        piece = (sizes.cumsum() - sizes) // limit
+        cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:]):
+            yield batch.slice(start, end - start)

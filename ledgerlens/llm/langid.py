@@ -25,10 +25,11 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import crc32_remainder, map_frames, small_frames
+from ledgerlens.llm.common import crc32_remainder, map_batches, map_frames, small_batches, small_frames
 
 SAMPLE_DOCS = 4000
 FEATURE_BITS = 16
@@ -203,21 +204,24 @@ def predict_texts(texts: list[str | None], model: dict, penalty: float = SWITCH_
 def predict(docs: DataFrame, model: dict, keep: list[str], penalty: float = SWITCH_PENALTY, with_spans: bool = False) -> DataFrame:
     """Columns ``keep`` (own names) with lang_pred, score and, if asked, spans (start, end, lang)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col("text").alias("t"))
+    # A text that is kept is sent once; kept columns pass through as they are.
+    sent = [*keep] if "text" in keep else [*keep, "text"]
+    at = sent.index("text")
+    source = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(sent)])
     kinds = [f"k{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
     extra = ["lang_pred string", "score double"] + ["spans array<struct<start:long,end:long,lang:string>>"] * with_spans
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in small_frames(frames, "t", limit=1_000_000):
-            found = predict_texts(frame["t"].tolist(), shared.value, penalty)
-            out = frame.drop(columns="t")
-            out["lang_pred"] = [x[0] for x in found]
-            out["score"] = [x[1] for x in found]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, f"k{at}", limit=1_000_000):
+            found = predict_texts(batch.column(at).to_pylist(), shared.value, penalty)
+            columns = [batch.column(i) for i in range(len(keep))]
+            columns += [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             if with_spans:
-                out["spans"] = [[{"start": a, "end": b, "lang": lang} for a, b, lang in x[2]] for x in found]
-            yield out
+                columns.append(pa.array([[{"start": a, "end": b, "lang": lang} for a, b, lang in x[2]] for x in found], span))
+            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in [*kinds, *extra]])
 
-    found = map_frames(source, run, ", ".join([*kinds, *extra]))
+    found = map_batches(source, run, ", ".join([*kinds, *extra]))
     return found.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *[c.split()[0] for c in extra])
 
 

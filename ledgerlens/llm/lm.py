@@ -34,17 +34,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import crc32_remainder, map_frames, ship, small_frames, stored, text_lengths, words_of
+from ledgerlens.llm.common import Scratch, crc32_remainder, map_batches, map_frames, ship, small_batches, stored
 from ledgerlens.llm.elias_fano import Trie
 
 SHARD_TOKENS = 2_000_000
-CHUNK_CHARACTERS = 8_000_000
+CHUNK_BYTES = 4_000_000
 MIN_COUNT = 1
 DISCOUNT = 0.75
 # Neither can be a word, as both hold a space.
@@ -57,19 +59,25 @@ def signed(words: np.ndarray) -> np.ndarray:
     return words.view(np.int64)
 
 
-def tokens_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(word hash of every token, its text); each text ends with END."""
-    split = [words_of(t, lower=True) for t in texts]
-    vocabulary = {w: i for i, w in enumerate(set().union(*split))}
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, vocabulary), dtype=np.uint64, count=len(vocabulary))
-    counts = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+    # A copy of its own: string functions misread a slice that is cast.
+    own = texts.take(pa.array(np.arange(len(texts)))).cast(pa.large_string()).fill_null("")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(own))
+    # Cutting at white space leaves empty words at a text's ends.
+    numbered = pc.dictionary_encode(lists.values)
+    listed = numbered.dictionary.cast(pa.large_binary()).to_pylist()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, listed), dtype=np.uint64, count=len(listed))
+    real = np.fromiter(map(len, listed), dtype=np.int64, count=len(listed)) > 0
+    numbers = numbered.indices.to_numpy(zero_copy_only=False)
+    before = np.concatenate([[0], np.cumsum(real[numbers])])
+    counts = np.diff(before[lists.offsets.to_numpy()])
     ends = np.cumsum(counts + 1) - 1
-    out = np.full(int(counts.sum()) + len(split), END, dtype=np.uint64)
+    out = np.full(int(counts.sum()) + len(texts), END, dtype=np.uint64)
     inside = np.ones(len(out), dtype=bool)
     inside[ends] = False
-    numbers = np.fromiter((vocabulary[w] for words in split for w in words), dtype=np.int64, count=int(counts.sum()))
-    out[inside] = hashes[numbers]
-    return out, np.repeat(np.arange(len(split)), counts + 1)
+    out[inside] = hashes[numbers[real[numbers]]]
+    return out, np.repeat(np.arange(len(texts)), counts + 1)
 
 
 def contexts_of(words: np.ndarray, owner: np.ndarray) -> np.ndarray:
@@ -88,17 +96,8 @@ def shard_of(words: np.ndarray, contexts: np.ndarray, shards: int, frequent: np.
     return ((key >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
 
 
-def chunks_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Join small frames to chunks of bounded length."""
-    held, size = [], 0
-    for frame in small_frames(frames, "t", limit=CHUNK_CHARACTERS // 4):
-        held.append(frame)
-        size += int(text_lengths(frame["t"]).sum()) + len(frame)
-        if size >= CHUNK_CHARACTERS:
-            yield pd.concat(held, ignore_index=True)
-            held, size = [], 0
-    if held:
-        yield pd.concat(held, ignore_index=True)
+def chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return small_batches(batches, "t", CHUNK_BYTES)
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -144,22 +143,27 @@ def long_again(data: np.ndarray) -> np.ndarray:
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, c) over the texts (t)."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in chunks_of(frames):
-            words, n = np.unique(tokens_of(frame["t"].tolist())[0], return_counts=True)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks_of(batches):
+            words, n = np.unique(tokens_of(batch.column("t"))[0], return_counts=True)
             for start in range(0, len(words), 200_000):
-                yield pd.DataFrame({"word": signed(words[start : start + 200_000]), "c": n[start : start + 200_000]})
+                part = slice(start, start + 200_000)
+                yield pa.RecordBatch.from_pydict({"word": signed(words[part]), "c": n[part].astype(np.int64)})
 
-    return map_frames(texts, run, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return map_batches(texts, run, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def pair_counts(texts: DataFrame, shards: int, frequent: np.ndarray) -> DataFrame:
-    """(shard, word, context, c): pairs seen MIN_COUNT times or more."""
+    """(shard, data): the pairs of each shard seen MIN_COUNT times or more, packed (words, runs, contexts, counts)."""
     listed = texts.sparkSession.sparkContext.broadcast(frequent)
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in chunks_of(frames):
-            words, owner = tokens_of(frame["t"].tolist())
+    def packed_pairs(words: np.ndarray, contexts: np.ndarray, n: np.ndarray) -> bytes:
+        distinct, runs = np.unique(words, return_counts=True)
+        return pack(distinct, runs.astype(np.uint32), short(contexts), n)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks_of(batches):
+            words, owner = tokens_of(batch.column("t"))
             contexts = contexts_of(words, owner)
             shard = shard_of(words, contexts, shards, listed.value)
             order = np.lexsort((contexts, words, shard))
@@ -170,25 +174,42 @@ def pair_counts(texts: DataFrame, shards: int, frequent: np.ndarray) -> DataFram
             cuts = np.searchsorted(shard, np.arange(shards + 1))
             for s in np.flatnonzero(np.diff(cuts)):
                 part = slice(cuts[s], cuts[s + 1])
-                distinct, runs = np.unique(words[part], return_counts=True)
-                yield pd.DataFrame({"shard": [s], "data": [pack(distinct, runs.astype(np.uint32), short(contexts[part]), n[part])]})
+                yield pa.RecordBatch.from_pydict({"shard": [int(s)], "data": [packed_pairs(words[part], contexts[part], n[part])]})
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        words, contexts, n = [], [], []
-        for distinct, runs, context, counts in map(unpack, frame["data"]):
-            words.append(np.repeat(distinct, runs))
-            contexts.append(long_again(context))
-            n.append(counts)
-        words, contexts, n = np.concatenate(words), np.concatenate(contexts), np.concatenate(n).astype(np.int64)
+        words, contexts, n = (np.concatenate(parts) for parts in zip(*map(pairs_of, frame["data"])))
         order = np.lexsort((contexts, words))
-        words, contexts, n = words[order], contexts[order], n[order]
+        words, contexts, n = words[order], contexts[order], n[order].astype(np.int64)
         new = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]) | (contexts[1:] != contexts[:-1])]))
         total = np.add.reduceat(n, new)
         kept = total >= MIN_COUNT
-        return pd.DataFrame({"shard": frame["shard"].iloc[0], "word": signed(words[new][kept]), "context": contexts[new][kept].astype(np.int64), "c": total[kept]})
+        data = packed_pairs(words[new][kept], contexts[new][kept], total[kept].astype(np.uint32))
+        return pd.DataFrame({"shard": [frame["shard"].iloc[0]], "data": [data]})
+
+    packed = map_batches(texts, count, "shard long, data binary")
+    return packed.groupBy("shard").applyInPandas(merge, "shard long, data binary")
+
+
+def pairs_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, contexts, counts), sorted by word, then context."""
+    distinct, runs, contexts, n = unpack(data)
+    return np.repeat(distinct, runs), long_again(contexts), n
+
+
+def context_sums(pairs: DataFrame) -> DataFrame:
+    """(shard, context, kept, kinds): counts and number of the pairs of each context within a shard."""
 
-    packed = map_frames(texts, count, "shard long, data binary")
-    return packed.groupBy("shard").applyInPandas(merge, "shard long, word long, context long, c long")
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for shard, data in zip(frame["shard"], frame["data"]):
+                _, contexts, n = pairs_of(data)
+                distinct, number, kinds = np.unique(contexts, return_inverse=True, return_counts=True)
+                kept = np.bincount(number, weights=n, minlength=len(distinct)).astype(np.int64)
+                for start in range(0, len(distinct), 200_000):
+                    part = slice(start, start + 200_000)
+                    yield pd.DataFrame({"shard": shard, "context": distinct[part].astype(np.int64), "kept": kept[part], "kinds": kinds[part]})
+
+    return map_frames(pairs, run, "shard int, context long, kept long, kinds int")
 
 
 class Model:
@@ -200,62 +221,72 @@ class Model:
 
 
 def train(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
-    """Count words and pairs of all texts of ``docs`` and build the tries."""
-    spark = docs.sparkSession
+    """Count words and pairs of all texts of ``docs`` and build the tries.
+
+    Pairs stay packed in their shard. What leaves it are the sums of each of its
+    contexts; they come back with the totals over all shards.
+    """
+    spark, scratch = docs.sparkSession, Scratch()
     texts = docs.select(F.col("text").alias("t"))
-    words = stored(word_counts(texts), "lm-words")
+    words = scratch.stored(word_counts(texts), "lm-words")
     tokens, vocabulary = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     documents = texts.count()
     shards = max(1, -(-tokens // shard_tokens))
     # At most 2 * shards words can be this frequent.
     frequent = np.sort(np.array([r["word"] for r in words.filter(F.col("c") > shard_tokens // 2).select("word").collect()], dtype=np.int64).view(np.uint64))
-    pairs = stored(pair_counts(texts, shards, frequent), "lm-pairs")
+    pairs = scratch.stored(pair_counts(texts, shards, frequent), "lm-pairs")
 
     def shortened(column: str):
         return F.shiftrightunsigned(column, int(DROPPED_BITS))
 
     begin_row = spark.createDataFrame([(int(np.uint64(BEGIN >> int(DROPPED_BITS))), documents)], "context long, total long")
     totals = words.groupBy(shortened("word").alias("context")).agg(F.sum("c").alias("total")).unionByName(begin_row)
-    seen = pairs.groupBy("context").agg(F.sum("c").alias("kept"), F.count(F.lit(1)).alias("kinds"))
+    sums = scratch.stored(context_sums(pairs), "lm-contexts")
+    seen = sums.groupBy("context").agg(F.sum("kept").alias("kept"), F.sum("kinds").alias("kinds"))
     rest = 1.0 - (F.col("kept") - DISCOUNT * F.col("kinds")) / F.col("total")
-    backoff = stored(seen.join(totals, "context").select("context", "total", F.greatest(rest, F.lit(1e-9)).alias("b")), "lm-backoff")
+    backoff = scratch.stored(seen.join(totals, "context").select("context", "total", F.greatest(rest, F.lit(1e-9)).alias("b")), "lm-backoff")
     begin = backoff.filter(F.col("context") == int(BEGIN >> int(DROPPED_BITS))).select(F.log10("b")).first()
     floor = float(tokens + vocabulary + 1)
-    p1 = (F.col("cw") + 1) / floor
-    own = words.select("word", F.col("c").alias("cw"))
-    p = (F.col("c") - DISCOUNT) / F.col("total") + F.col("b") * p1
-    level2 = pairs.join(backoff, "context").join(own, "word").select(
-        "shard", "word", "context", F.lit(None).cast("long").alias("c"), F.log10(p / (F.col("b") * p1)).alias("value")
-    )
-    value = F.log10(p1) + F.when(F.col("word") == int(np.uint64(END).astype(np.int64)), 0.0).otherwise(F.coalesce(F.log10("b"), F.lit(0.0)))
-    entries = own.withColumn("context", shortened("word")).join(backoff.select("context", "b"), "context", "left")
+    end = F.col("word") == int(np.uint64(END).astype(np.int64))
+    value = F.log10((F.col("c") + 1) / floor) + F.when(end, 0.0).otherwise(F.coalesce(F.log10("b"), F.lit(0.0)))
+    entries = words.withColumn("context", shortened("word")).join(backoff.select("context", "b"), "context", "left")
 
     listed = spark.sparkContext.broadcast(frequent)
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            hashes = frame["word"].to_numpy().view(np.uint64)
+            hashes = frame["key"].to_numpy().view(np.uint64)
             often = np.isin(hashes, listed.value)
             frame["shard"] = shard_of(hashes, np.zeros(len(hashes), dtype=np.uint64), shards, listed.value)
             yield frame[~often]
             for s in range(shards if often.any() else 0):
                 yield frame[often].assign(shard=s)
 
-    level1 = map_frames(entries.select("word", "cw", value.alias("value")), place, "word long, cw long, value double, shard long")
-    level1 = level1.select("shard", "word", F.lit(-1).cast("long").alias("context"), F.col("cw").alias("c"), "value")
-
-    def build(frame: pd.DataFrame) -> pd.DataFrame:
-        words = frame["word"].to_numpy().view(np.uint64)
-        context = frame["context"].to_numpy()
-        order = np.lexsort((context, words))
-        words, context, value, c = words[order], context[order], frame["value"].to_numpy()[order], frame["c"].to_numpy()[order]
-        top = context < 0
-        distinct = words[top]
-        parents = np.searchsorted(distinct, words[~top])
-        data = Trie.build(distinct, c[top].astype(np.int64), value[top], parents, context[~top], value[~top])
-        return pd.DataFrame({"shard": [frame["shard"].iloc[0]], "data": [data]})
-
-    tries = stored(level1.unionByName(level2).groupBy("shard").applyInPandas(build, "shard long, data binary"), "lm-tries")
+    level1 = map_frames(entries.select(F.col("word").alias("key"), "c", value.alias("value")), place, "key long, c long, value double, shard int")
+    level1 = level1.withColumn("level", F.lit(1))
+    contexts = sums.select("shard", "context").join(backoff, "context")
+    contexts = contexts.select(F.col("context").alias("key"), F.col("total").alias("c"), F.col("b").alias("value"), "shard", F.lit(2).alias("level"))
+
+    def build(packed: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        top, before = (known[known["level"] == level] for level in (1, 2))
+        distinct, c, gain = top["key"].to_numpy().view(np.uint64), top["c"].to_numpy(), top["value"].to_numpy()
+        order = np.argsort(distinct)
+        distinct, c, gain = distinct[order], c[order].astype(np.int64), gain[order]
+        words, contexts, n = pairs_of(packed["data"].iloc[0]) if len(packed) else (distinct[:0], distinct[:0], c[:0])
+        keys = before["key"].to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        at = order[np.searchsorted(keys, contexts, sorter=order)] if len(contexts) else np.zeros(0, dtype=np.int64)
+        total, b = before["c"].to_numpy()[at], before["value"].to_numpy()[at]
+        parents = np.searchsorted(distinct, words)
+        p1 = (c[parents] + 1) / floor
+        value = np.log10(((n - DISCOUNT) / total + b * p1) / (b * p1))
+        data = Trie.build(distinct, c, gain, parents, contexts.astype(np.int64), value)
+        return pd.DataFrame({"shard": [int(known["shard"].iloc[0])], "data": [data]})
+
+    known = level1.unionByName(contexts)
+    tries = pairs.groupBy("shard").cogroup(known.withColumn("shard", F.col("shard").cast("long")).groupBy("shard")).applyInPandas(build, "shard long, data binary")
+    tries = stored(tries, "lm-tries")
+    scratch.clear()
     return Model(tries, int(tokens), int(vocabulary), shards, frequent, float(begin[0]) if begin else 0.0)
 
 
@@ -267,17 +298,20 @@ def score(docs: DataFrame, model: Model, keep: str = "held_out") -> DataFrame:
     shards, floor, begin = model.shards, float(model.tokens + model.vocabulary + 1), model.begin
     source = docs.select(F.col("doc_id").cast("long").alias("d"), F.col(keep).alias("h"), F.col("text").alias("t"))
 
-    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def message(shard: int, chunk: int, kind: int, data: bytes) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([chunk], pa.int64()), pa.array([kind], pa.int32()), pa.array([data], pa.binary())], ["shard", "chunk", "kind", "data"])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition = TaskContext.get().partitionId()
-        for number, frame in enumerate(chunks_of(frames)):
+        for number, batch in enumerate(chunks_of(batches)):
             chunk = (partition << 24) + number
-            words, owner = tokens_of(frame["t"].tolist())
-            ids = frame["d"].astype("Int64")
+            words, owner = tokens_of(batch.column("t"))
+            ids = batch.column("d")
             head = pack(
-                ids.fillna(0).to_numpy(dtype=np.int64), ids.isna().to_numpy(dtype=np.uint8), frame["h"].to_numpy(dtype=np.uint8),
-                np.bincount(owner, minlength=len(frame)).astype(np.int64),
+                ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8),
+                batch.column("h").to_numpy(zero_copy_only=False).astype(np.uint8), np.bincount(owner, minlength=batch.num_rows).astype(np.int64),
             )
-            yield pd.DataFrame({"shard": [chunk % shards], "chunk": [chunk], "kind": [0], "data": [head]})
+            yield message(chunk % shards, chunk, 0, head)
             contexts = contexts_of(words, owner)
             shard = shard_of(words, contexts, shards, listed.value)
             order = np.argsort(shard, kind="stable")
@@ -288,8 +322,7 @@ def score(docs: DataFrame, model: Model, keep: str = "held_out") -> DataFrame:
                 kinds, which = coded(words[part])
                 befores, before = coded(contexts[part])
                 gaps = np.diff(owner[part], prepend=0).astype(np.uint32)
-                data = pack(kinds, which, short(befores), before, gaps)
-                yield pd.DataFrame({"shard": [s], "chunk": [chunk], "kind": [1], "data": [data]})
+                yield message(int(s), chunk, 1, pack(kinds, which, short(befores), before, gaps))
 
     def answer(asked: pd.DataFrame, tries: pd.DataFrame) -> pd.DataFrame:
         trie = Trie(tries["data"].iloc[0]) if len(tries) else None
@@ -331,7 +364,7 @@ def score(docs: DataFrame, model: Model, keep: str = "held_out") -> DataFrame:
             {"doc_id": pd.Series(ids, dtype="Int64").mask(missing.astype(bool)), keep: flags.astype(bool), "n_tokens": n, "n_known": known, "base_score": base, "score": total}
         )
 
-    asked = map_frames(source, ask, "shard long, chunk long, kind int, data binary")
+    asked = map_batches(source, ask, "shard long, chunk long, kind int, data binary")
     answered = asked.groupBy("shard").cogroup(model.tries.groupBy("shard")).applyInPandas(answer, "chunk long, kind int, data binary")
     result = f"doc_id long, {keep} boolean, n_tokens long, n_known long, base_score double, score double"
     return answered.groupBy("chunk").applyInPandas(add_up, result)

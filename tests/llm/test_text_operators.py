@@ -9,7 +9,9 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
+import xxhash
 from conftest import SF_DIR
 from odd_documents import make_docs, no_docs, odd_docs  # noqa: F401
 from pyspark.sql import functions as F
@@ -164,6 +166,19 @@ def test_elias_fano_access_and_successor():
         assert (kept.successor(asked, np.zeros(200), np.full(200, n)) == np.searchsorted(values, asked)).all()
 
 
+def test_tokens_of_slices(monkeypatch):
+    """Chunks are slices of a batch; each text keeps its own words."""
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 40)
+    texts = [None, "", " a  B ", "é É\x0bc", " \t", *(f"word{i} of text {i % 3}" for i in range(50)), "long " * 60]
+    batch = pa.RecordBatch.from_pydict({"t": pa.array(texts, pa.string())})
+    want = [[xxhash.xxh3_64_intdigest(w) for w in (t or "").encode().lower().split()] + [lm.END] for t in texts]
+    got = []
+    for chunk in lm.chunks_of(iter([batch, batch.slice(3, 9), batch.slice(0, 0)])):
+        words, owner = lm.tokens_of(chunk.column("t"))
+        got += [words[owner == i].tolist() for i in range(chunk.num_rows)]
+    assert got == want + want[3:12]
+
+
 def test_language_model_scores(spark, no_docs, odd_docs):
     docs = table(spark, SF_DIR, "documents").unionByName(odd_docs.filter("doc_id > 100000 OR doc_id IS NULL").select("doc_id", "text", "lang", "source", "n_chars"))
     rows = docs.collect()
