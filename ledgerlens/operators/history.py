@@ -52,10 +52,14 @@ def with_previous(
     """Add columns of the user's previous transaction and range counts.
 
     ``counts`` maps a column name to a number of seconds. All of it needs one
-    exchange and one sort of the table.
+    exchange and one sort of the table, and neither if ``df`` is a layout
+    (``sinks.layout``), which is sliced already.
     """
     counts = counts or {}
-    sliced = with_slices(df, [PREVIOUS[p] for p in previous], max(counts.values(), default=0), policy)
+    if "is_carry" in df.columns:
+        sliced = df
+    else:
+        sliced = with_slices(df, [PREVIOUS[p] for p in previous], max(counts.values(), default=0), policy)
     order = by_order()
     sliced = sliced.select("*", *[F.lag(PREVIOUS[p]).over(order).alias(p) for p in previous])
     if counts:

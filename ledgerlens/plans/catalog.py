@@ -18,6 +18,7 @@ from ledgerlens.plans import inputs
 from ledgerlens.schema import MODEL_FEATURES, NARROW_COLUMNS, TRANSACTION_COLUMNS
 from ledgerlens.session import work_dir
 from ledgerlens.sinks import batch as batch_sink
+from ledgerlens.sinks import layout
 from ledgerlens.sinks import stream as stream_sink
 from ledgerlens.sources import messages, tables
 from ledgerlens.sources.events import confirmations_of, transaction_stream, transactions
@@ -169,6 +170,18 @@ on_transactions("feat_location", with_id(history.location_features, *TRAVEL), di
 on_transactions("feat_device", with_id(history.device_features, *DEVICE))
 on_transactions("user_window_stats", history.user_window_stats, **WINDOW_DIGITS)
 on_transactions("feat_user_window", with_id(history.user_window_features, "window_start", *WINDOW_STATS), **WINDOW_DIGITS)
+
+
+@registered
+def feat_from_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The behavioural features read from bucketed, sorted history."""
+    name = f"history_layout_{uuid.uuid4().hex[:8]}"
+    layout.write_layout(transactions(spark, sf_dir), name, work_dir(spark, "layout"), buckets=8)
+    found = history.behaviour_features(layout.load_layout(spark, name))
+    columns = ["time_since_last_txn", "is_rapid_transaction", "txn_count_5min", "distance_from_prev", "is_impossible_travel", "device_changed"]
+    return tidy(found.select("transaction_id", *columns), distance_from_prev=6)
+
+
 on_transactions(
     "feat_asof_window",
     with_id(asof.asof_features, "asof_window_start", "asof_age_seconds", *asof.STATISTICS),

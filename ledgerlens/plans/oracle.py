@@ -222,6 +222,10 @@ SELECT transaction_id, window_start, txn_count_window, avg_amount_window, max_am
   coalesce(std_amount_window, 0e0) AS std_amount_window, total_amount_window
 FROM (SELECT *, time_bucket(INTERVAL 1 HOUR, "timestamp", TIMESTAMP '1970-01-01') AS window_start FROM tx) t
 LEFT JOIN stats USING (user_id, window_start)""")
+sql("feat_from_layout", PAST, """
+SELECT transaction_id, time_since_last_txn, is_rapid_transaction, txn_count_5min, distance_from_prev,
+  is_impossible_travel, device_changed
+FROM past""")
 sql("feat_asof_window", USER_WINDOWS, """
 SELECT transaction_id, window_start AS asof_window_start,
   CAST(epoch_us("timestamp") // 1000000 - epoch_us(window_start) // 1000000 - 3600 AS BIGINT) AS asof_age_seconds,
