@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ledgerlens.functions import features as feat
 from ledgerlens.functions import rules
-from ledgerlens.operators import asof, history, investigation, labels, model, monitoring, patterns, scoring
+from ledgerlens.operators import asof, attribution, history, investigation, labels, model, monitoring, patterns, scoring
 from ledgerlens.plans import inputs
 from ledgerlens.schema import MODEL_FEATURES, NARROW_COLUMNS, TRANSACTION_COLUMNS
 from ledgerlens.session import work_dir
@@ -430,6 +430,16 @@ def stream_behavioural(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(_to_parquet(stream, "behaviour"), distance_from_prev=6)
 
 
+@registered
+def model_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reasons per transaction; base and contributions add up to the probability."""
+    told = attribution.explain(transactions(spark, sf_dir), inputs.forest(spark, sf_dir))
+    total = F.aggregate("contributions", F.col("base"), lambda a, b: a + b)
+    return told.select(
+        "transaction_id", "fraud_probability", "base", total.alias("explained"), F.col("reasons.feature").alias("reasons")
+    )
+
+
 OUTCOME = [
     "transaction_id", "timestamp", "amount", "predicted_fraud", "outcome", "confirmed_at",
     "true_positive", "false_positive", "true_negative", "false_negative",

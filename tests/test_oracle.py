@@ -6,7 +6,7 @@ from conftest import SF_DIR
 
 from ledgerlens.plans import ORACLE_SQL, QUERIES
 
-ROWS_ONLY = {"model_scored", "model_metrics", "model_preview", "feature_importance", "model_metadata", "stream_model_scored"}
+ROWS_ONLY = {"model_scored", "model_metrics", "model_preview", "feature_importance", "model_metadata", "stream_model_scored", "model_attribution"}
 
 
 @pytest.fixture(scope="module")
