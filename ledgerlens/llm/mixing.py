@@ -2,12 +2,13 @@
 
 Each source is a stream of words: its documents in a pseudorandom order, cut
 into blocks of ``block_words`` words regardless of document borders. A source
-is given as many slots of the mix as its target needs. Slot ``j`` of a source
-with B blocks takes block ``permutation(j mod B)``, so whole passes over a
-source take every block once and the last, partial pass takes a pseudorandom
-selection. Every slot draws its output shard uniformly. A shard's counts by
-source are then a multinomial draw, given that the sources' totals are exact;
-drawing the totals as well would only add noise to the targets.
+is given as many slots of the mix as its target needs. The mix consists of
+shards of ``shard_slots`` slots. Each shard draws its counts by source: a
+multinomial draw, given that the sources' totals are exact, as drawn totals
+would miss the targets and could pass the cap. The shards take a source's slots
+in turn. Slot ``j`` of a source with B blocks takes block
+``permutation(j mod B)``, so whole passes over a source take every block once
+and the last, partial pass takes a pseudorandom selection.
 
 Documents and the mix meet in a join by (source, block). Nothing is collected;
 offsets come from two-level sums, so that a source that holds most of the table
@@ -95,12 +96,11 @@ def permuted(index: Column, size: Column, *key: Column, rounds: int = ROUNDS) ->
     return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), index, one)
 
 
-def mix_slots(targets: DataFrame, seed: int = 0, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """(shard, skey, slot, epoch, block): every block that the mix takes.
+def source_quotas(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(skey, blocks, slots, first, total): the slots of each source, and where they start among all ``total`` slots.
 
     A source takes floor(target / size) whole passes and the nearest number of
-    blocks to the rest. Slots are laid out in chunks so that one large source
-    does not expand in one task.
+    blocks to the rest. The windows run over one row per source.
     """
     blocks = F.ceil(F.col("source_size") / block_words)
     passes = F.floor(F.col("target") / F.col("source_size") + 1e-12)
@@ -108,23 +108,55 @@ def mix_slots(targets: DataFrame, seed: int = 0, block_words: int = BLOCK_WORDS,
     quota = targets.filter("source_size > 0").select(
         "skey", blocks.alias("blocks"), (passes * blocks + F.least(F.greatest(part, F.lit(0)), blocks)).alias("slots")
     )
-    shards = F.greatest(F.ceil(F.sum("slots").over(Window.partitionBy()) / shard_slots), F.lit(1))
-    chunks = (
-        quota.withColumn("shards", shards)
-        .filter("slots > 0")
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / CHUNK))))
-        # A stated number: by their size alone, Spark would put all chunks into one task.
-        .repartition(int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "skey", "chunk")
-    )
-    first = F.col("chunk") * CHUNK
-    slots = chunks.withColumn("slot", F.explode(F.sequence(first, F.least(first + CHUNK, F.col("slots")) - 1)))
-    key = [F.lit(seed), F.col("skey")]
+    before = Window.orderBy("skey").rowsBetween(Window.unboundedPreceding, -1)
+    return quota.withColumns(
+        {"first": F.coalesce(F.sum("slots").over(before), F.lit(0)), "total": F.sum("slots").over(Window.partitionBy())}
+    ).filter("slots > 0")
+
+
+def shard_counts(quotas: DataFrame, seed: int = 0, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """(skey, shard, slots): the draw of how many slots each output shard takes from each source.
+
+    A permutation of all slots deals them to shards of ``shard_slots`` slots (the
+    last may be smaller). A shard's counts by source are thus a multinomial
+    draw, given that the sources' totals are exact. Slots are dealt in chunks, so
+    that one large source does not expand in one task.
+    """
+    chunks = quotas.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / CHUNK))))
+    # A stated number: by their size alone, Spark would put all chunks into one task.
+    chunks = chunks.repartition(int(quotas.sparkSession.conf.get("spark.sql.shuffle.partitions")), "skey", "chunk")
+    start = F.col("chunk") * CHUNK
+    end = F.least(start + CHUNK, F.col("slots"))
+    drawn = chunks.withColumn("ticket", F.explode(F.sequence(F.col("first") + start, F.col("first") + end - 1)))
+    place = permuted(F.col("ticket"), F.col("total"), F.lit(seed), F.lit("shards"))
+    return drawn.groupBy("skey", F.floor(place / shard_slots).alias("shard")).agg(F.count("*").alias("slots"))
+
+
+def mix_slots(targets: DataFrame, seed: int = 0, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """(shard, skey, slot, epoch, block): every block that the mix takes.
+
+    The shards of a source take its slots in turn, as many as the draw gives
+    them. Where a shard starts comes from sums over ranges of CHUNK shards and
+    sums within a range.
+    """
+    quotas = source_quotas(targets, block_words)
+    counts = stored(shard_counts(quotas, seed, shard_slots), "mix-shards").withColumn("range", F.floor(F.col("shard") / CHUNK))
+    before = Window.partitionBy("skey").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = counts.groupBy("skey", "range").agg(F.sum("slots").alias("drawn"))
+    starts = totals.select("skey", "range", F.coalesce(F.sum("drawn").over(before), F.lit(0)).alias("start"))
+    within = Window.partitionBy("skey", "range").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("inner", F.coalesce(F.sum("slots").over(within), F.lit(0))).join(starts, ["skey", "range"])
+    placed = placed.join(quotas.select("skey", "blocks"), "skey")
+    # Few rows stand for many slots: a stated number of tasks expands them.
+    placed = placed.repartition(int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "skey", "shard")
+    begin = F.col("start") + F.col("inner")
+    slots = placed.withColumn("slot", F.explode(F.sequence(begin, begin + F.col("slots") - 1)))
     return slots.select(
-        F.pmod(F.xxhash64(F.lit("shard"), *key, "slot"), F.col("shards")).alias("shard"),
+        "shard",
         "skey",
         "slot",
         F.floor(F.col("slot") / F.col("blocks")).alias("epoch"),
-        permuted(F.pmod(F.col("slot"), F.col("blocks")), F.col("blocks"), *key).alias("block"),
+        permuted(F.pmod(F.col("slot"), F.col("blocks")), F.col("blocks"), F.lit(seed), F.col("skey")).alias("block"),
     )
 
 
@@ -144,14 +176,31 @@ def mix_pieces(sized: DataFrame, targets: DataFrame, seed: int = 0, block_words:
 
 
 def mix_report(docs: DataFrame, seed: int = 0, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken."""
+    """One row per document: doc_id, source, size, source_size, target, taken, and of its slots n_slots, first_shard, last_shard.
+
+    A document that the mix does not take has 0 slots and null shards.
+    """
     sized = stored(with_offsets(docs, ["doc_id", "source"]), "mix-sizes")
     targets = stored(source_targets(sized), "mix-targets")
-    taken = mix_pieces(sized, targets, seed, block_words).groupBy("skey", "offset").agg(F.sum("words").alias("taken"))
+    taken = mix_pieces(sized, targets, seed, block_words).groupBy("skey", "offset").agg(
+        F.sum("words").alias("taken"),
+        F.count("*").alias("n_slots"),
+        F.min("shard").alias("first_shard"),
+        F.max("shard").alias("last_shard"),
+    )
     taken = taken.withColumnsRenamed({"skey": "taken_key", "offset": "taken_at"})
     at = F.expr("skey = taken_key AND offset = taken_at AND size > 0")
+    none = F.lit(0).cast("long")
     return sized.join(targets, "skey").join(taken.hint("merge"), at, "left").select(
-        "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")
+        "doc_id",
+        "source",
+        "size",
+        "source_size",
+        "target",
+        F.coalesce("taken", none).alias("taken"),
+        F.coalesce("n_slots", none).alias("n_slots"),
+        "first_shard",
+        "last_shard",
     )
 
 

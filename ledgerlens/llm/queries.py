@@ -57,7 +57,7 @@ def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = mixing.mix_report(table(spark, sf_dir, "documents"))
-    return report.select("doc_id", "size", "source_size", "target", "taken")
+    return report.select("doc_id", "size", "source_size", "target", "taken", "n_slots", "first_shard", "last_shard")
 
 
 @registered

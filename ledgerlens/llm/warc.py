@@ -41,6 +41,7 @@ REVISIT_BYTES = 100
 ARCHIVE_BYTES = 32_000_000
 DICTIONARY_BYTES = 64_000
 SAMPLE_BYTES = 4_000_000
+READ_TASKS = 20_000
 LEVEL = 3
 # Fixed values of the format.
 SKIPPABLE_MAGIC = 0x184D2A5D
@@ -239,7 +240,8 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
 
     columns = ["file string", "offset long", "record_type string", "record_id string", "target_uri string", "page_id long",
                "payload binary", "payload_bytes long", "payload_digest string", "refers_to long"]
-    files = manifest.repartition(F.col("file"))
+    # A stated number: by the manifest's size alone, Spark would read all archives in one task.
+    files = manifest.repartition(max(1, min(manifest.count(), READ_TASKS)), "file")
     return map_frames(files, read, ", ".join(columns))
 
 

@@ -236,10 +236,41 @@ def test_mix(spark, make_docs, odd_docs, no_docs):
     for r in mixed.collect():
         words[r.doc_id] += len(WORD.findall(r.text))
     assert words == Counter({r.doc_id: r.taken for r in got if r.taken})
+    assert sum(r.n_slots > 0 for r in got) == sum(r.taken > 0 for r in got) == sum(r.first_shard is not None for r in got)
     assert mixing.mix_report(odd_docs).count() == odd_docs.count()
     assert mixing.mix_report(no_docs).collect() == [] and mixing.mix_documents(no_docs).collect() == []
 
 
+def test_shard_draw(spark):
+    sizes, targets = {"0a": 64 * 5000, "0b": 64 * 900 + 7, "0c": 64 * 40, "1": 3}, {"0a": 64 * 2500.0, "0b": 64 * 2000.0, "0c": 64 * 120.0, "1": 9.0}
+    rows = spark.createDataFrame([(s, sizes[s], targets[s]) for s in sizes], "skey string, source_size long, target double")
+    quotas = {r.skey: r for r in mixing.source_quotas(rows).collect()}
+    total = sum(q.slots for q in quotas.values())
+    counts = Counter({(r.skey, r.shard): r.slots for r in mixing.shard_counts(mixing.source_quotas(rows), shard_slots=256).collect()})
+    shards = range(-(-total // 256))
+    # Shards are full but for the last; sources keep their totals.
+    assert [sum(counts[s, k] for s in sizes) for k in shards] == [256] * (total // 256) + [total % 256] * (total % 256 > 0)
+    assert all(sum(counts[s, k] for k in shards) == quotas[s].slots for s in sizes)
+    # Counts scatter as a multinomial draw does: chi square near its degrees of freedom.
+    expected = 256 * quotas["0b"].slots / total
+    full = [counts["0b", k] for k in shards if 256 * (k + 1) <= total]
+    chi = sum((n - expected) ** 2 for n in full) / (expected * (1 - expected / 256))
+    assert 0.3 * len(full) < chi < 2.2 * len(full) and len(set(full)) > 3
+    # Every slot of a shard comes from the draw, and a source's slots are used once each, in the order of the shards.
+    slots = mixing.mix_slots(rows, shard_slots=256).collect()
+    assert Counter((r.skey, r.shard) for r in slots) == counts
+    for s in sizes:
+        mine = sorted((r.slot, r.shard, r.block) for r in slots if r.skey == s)
+        assert [x[0] for x in mine] == list(range(quotas[s].slots)) and [x[1] for x in mine] == sorted(x[1] for x in mine)
+        for epoch in range(0, len(mine), quotas[s].blocks):
+            blocks = [x[2] for x in mine[epoch : epoch + quotas[s].blocks]]
+            assert len(set(blocks)) == len(blocks) and set(blocks) <= set(range(quotas[s].blocks))
+    assert {tuple(r) for r in mixing.shard_counts(mixing.source_quotas(rows), seed=1, shard_slots=256).collect()} != {(*k, n) for k, n in counts.items()}
+    plan = mixing.mix_report(spark.createDataFrame([(1, "w " * 500, "a")], "doc_id long, text string, source string"))
+    text = plan._jdf.queryExecution().toString()
+    assert not any(word in text for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
+
+
 def plain_dropped(docs, min_docs=5):
     """Line numbers that go, by (doc_id, text), with every document and line in hand."""
     lines = []
