@@ -91,13 +91,16 @@ def with_slices(
     carry: list[str],
     horizon: int = 0,
     policy: HotPolicy | None = DEFAULT_POLICY,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Rows plus carry rows, with ``place``, ``slice``, ``second``, ``weight``, ``is_carry``.
 
     ``carry`` names the columns a later ``lag`` reads. With ``policy=None`` no
-    user is cut (for data known to be free of hot users).
+    user is cut (for data known to be free of hot users). A list of ``hot``
+    users known beforehand saves the search for them.
     """
-    hot = hot_users(df, policy) if policy else None
+    if hot is None and policy:
+        hot = hot_users(df, policy)
     second, zero, one = epoch(), F.lit(0).cast("long"), F.lit(1).cast("long")
 
     def rows(of: DataFrame, piece: Column) -> DataFrame:

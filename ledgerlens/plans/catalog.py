@@ -13,12 +13,13 @@ from pyspark.sql import types as T
 
 from ledgerlens.functions import features as feat
 from ledgerlens.functions import rules
-from ledgerlens.operators import asof, attribution, history, investigation, labels, model, monitoring, patterns, scoring
+from ledgerlens.operators import asof, attribution, bursts, history, investigation, labels, model, monitoring, patterns, rings, scoring
+from ledgerlens.operators import sketches, tiles
 from ledgerlens.plans import inputs
 from ledgerlens.schema import MODEL_FEATURES, NARROW_COLUMNS, TRANSACTION_COLUMNS
 from ledgerlens.session import work_dir
 from ledgerlens.sinks import batch as batch_sink
-from ledgerlens.sinks import layout
+from ledgerlens.sinks import layout, serving
 from ledgerlens.sinks import stream as stream_sink
 from ledgerlens.sources import messages, tables
 from ledgerlens.sources.events import confirmations_of, transaction_stream, transactions
@@ -357,6 +358,38 @@ on_transactions("pattern_hits", with_id(patterns.pattern_hits, "user_id", "patte
 on_transactions("pattern_summary", patterns.pattern_summary, total_amount=4)
 
 
+on_transactions("user_bursts", bursts.bursts, seconds=6, total_amount=4)
+
+# --- Summaries that answer without the rows -------------------------------------
+on_scored("fraud_rings", lambda df: rings.fraud_rings(investigation.fraud_edges(df)))
+on_scored("fraud_core", lambda df: rings.fraud_core(investigation.fraud_edges(df)))
+on_scored("fraud_tiles", tiles.fraud_tiles, total_amount=4)
+
+
+def _sketch_store(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    path = work_dir(spark, "sketches")
+    sketches.write_store(sketches.sketch_buckets(inputs.scored(spark, sf_dir)), path)
+    return sketches.load_store(spark, path, start, end)
+
+
+SKETCHED = {"total_amount": 4, "q1": 6, "median": 6, "q3": 6}
+
+
+@registered
+def sketch_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles, distinct users and leading merchants per category, from the store alone."""
+    found = sketches.answers(sketches.merge(_sketch_store(spark, sf_dir), "merchant_category"))
+    return tidy(found.drop("top_merchants", "top_counts"), **SKETCHED)
+
+
+@registered
+def sketch_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same per day of ten days, with the leading merchant; only these days' folders are read."""
+    found = sketches.answers(sketches.merge(_sketch_store(spark, sf_dir, "2024-01-08", "2024-01-17"), "day"), top=1)
+    found = found.withColumn("top_merchant", F.get("top_merchants", F.lit(0))).withColumn("top_count", F.get("top_counts", F.lit(0)))
+    return tidy(found.drop("top_merchants", "top_counts"), **SKETCHED)
+
+
 # --- Streams ------------------------------------------------------------------
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid transactions decoded from a stream of messages."""
@@ -480,3 +513,37 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     twice = once.unionByName(transaction_stream(spark, sf_dir, **INTAKE))
     columns = ["transaction_id", "user_id", "timestamp", "amount"]
     return tidy(_to_parquet(windows.deduplicate(twice.select(*columns)), "dedup"))
+
+
+@registered
+def stream_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bursts.burst_stream(transaction_stream(spark, sf_dir, **INTAKE))
+    return tidy(_to_parquet(found, "bursts"), seconds=6, total_amount=4)
+
+
+def _served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A serving table that a stream has filled in small batches, compacted on the way."""
+    out = work_dir(spark, "serving")
+    scored = scoring.score_rules(transaction_stream(spark, sf_dir, maxFilesPerTrigger="1"))
+    drain(serving.serve(scored, f"{out}/table", f"{out}/checkpoint", every=2, trigger=None))
+    return serving.load_serving(spark, f"{out}/table")
+
+
+@registered
+def serving_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(serving.served_kpis(_served(spark, sf_dir)), total_amount=4, avg_fraud_score=6, fraud_rate_pct=6)
+
+
+@registered
+def serving_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(serving.served_timeline(_served(spark, sf_dir)))
+
+
+@registered
+def serving_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(serving.served_by_category(_served(spark, sf_dir)), rate=9)
+
+
+@registered
+def serving_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(serving.served_hours(_served(spark, sf_dir)))

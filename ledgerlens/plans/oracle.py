@@ -549,3 +549,92 @@ SELECT time_bucket(INTERVAL 5 MINUTE, "timestamp", TIMESTAMP '1970-01-01') AS bu
   round(avg(fraud_score), 6) AS avg_fraud_score
 FROM scored GROUP BY 1""")
 sql("stream_dedup", TX, 'SELECT transaction_id, user_id, "timestamp", amount FROM tx')
+
+# --- Summaries ------------------------------------------------------------------
+sql("fraud_rings", "RECURSIVE " + ALL_EDGES.strip() + """,
+links AS (SELECT user_id AS a, merchant_id AS b FROM edges UNION ALL SELECT merchant_id, user_id FROM edges),
+reach(node, ring) AS (
+  SELECT a, a FROM links
+  UNION SELECT l.b, r.ring FROM reach r JOIN links l ON l.a = r.node AND r.ring < l.b
+),
+found AS (SELECT node, min(ring) AS ring FROM reach GROUP BY 1)""", """
+SELECT node, ring, count(*) OVER (PARTITION BY ring) AS ring_nodes,
+  (SELECT CAST(sum(weight) AS BIGINT) FROM edges e JOIN found u ON u.node = e.user_id WHERE u.ring = f.ring) AS ring_frauds
+FROM found f""")
+# The edges left of each round, as one list.
+sql("fraud_core", "RECURSIVE " + ALL_EDGES.strip() + """,
+rounds(n, es) AS (
+  SELECT 0, list({'a': merchant_id, 'b': user_id}) FROM edges
+  UNION ALL
+  SELECT n + 1, left_over FROM (
+    SELECT n, es, coalesce((
+      SELECT list(e) FROM (
+        SELECT e, count(*) OVER (PARTITION BY e.a) AS da, count(*) OVER (PARTITION BY e.b) AS db FROM (SELECT unnest(es) AS e)
+      ) WHERE da >= 3 AND db >= 3), []) AS left_over
+    FROM rounds
+  ) WHERE len(left_over) < len(es)
+), kept AS (SELECT unnest(es) AS e FROM (SELECT es FROM rounds ORDER BY n DESC LIMIT 1))""", """
+SELECT node, count(*) AS degree FROM (SELECT e.a AS node FROM kept UNION ALL SELECT e.b FROM kept) GROUP BY 1""")
+sql("fraud_tiles", TOP, """
+, placed AS (
+  SELECT amount, fraud_score,
+    CAST(greatest(least(floor((location_lon + 180) / 360 * 256), 255), 0) AS BIGINT) AS px,
+    CAST(greatest(least(floor((90 - location_lat) / 180 * 256), 255), 0) AS BIGINT) AS py
+  FROM bad
+), levels AS (
+  SELECT CAST(z AS INTEGER) AS zoom, px // CAST(2 ** (8 - z) AS BIGINT) AS x, py // CAST(2 ** (8 - z) AS BIGINT) AS y, amount, fraud_score
+  FROM placed, range(0, 9) AS r(z)
+)
+SELECT zoom, x, y, count(*) AS transactions, round(sum(amount), 4) AS total_amount, max(fraud_score) AS max_score,
+  CAST(list_sum(list_transform(range(0, 8), lambda b: (x // CAST(2 ** b AS BIGINT)) % 2 * CAST(4 ** b AS BIGINT)
+    + (y // CAST(2 ** b AS BIGINT)) % 2 * 2 * CAST(4 ** b AS BIGINT))) AS BIGINT) AS cell
+FROM levels GROUP BY zoom, x, y""")
+BURSTS = TX + """,
+steps AS (
+  SELECT *, lag("timestamp") OVER (PARTITION BY user_id ORDER BY "timestamp", transaction_id) AS before FROM tx
+), numbered AS (
+  SELECT *, sum(CASE WHEN before IS NULL OR epoch_us("timestamp") - epoch_us(before) > 60000000 THEN 1 ELSE 0 END)
+    OVER (PARTITION BY user_id ORDER BY "timestamp", transaction_id) AS number
+  FROM steps
+), found AS (
+  SELECT user_id, min("timestamp") AS "start", max("timestamp") AS "end",
+    round((epoch_us(max("timestamp")) - epoch_us(min("timestamp"))) / 1e6, 6) AS seconds,
+    count(*) AS transactions, round(sum(amount), 4) AS total_amount
+  FROM numbered GROUP BY user_id, number HAVING count(*) >= 2
+)"""
+sql("user_bursts", BURSTS, "SELECT * FROM found")
+sql("stream_bursts", BURSTS, f"""SELECT * FROM found WHERE "end" + INTERVAL 60 SECOND < {MARK}""")
+SKETCHED = """count(*) AS transactions, count(*) FILTER (WHERE predicted_fraud = 1) AS frauds,
+  round(sum(amount), 4) AS total_amount, CAST(count(DISTINCT user_id) AS {users}) AS distinct_users,
+  round(percentile_disc(0.25) WITHIN GROUP (ORDER BY amount), 6) AS q1,
+  round(percentile_disc(0.5) WITHIN GROUP (ORDER BY amount), 6) AS median,
+  round(percentile_disc(0.75) WITHIN GROUP (ORDER BY amount), 6) AS q3"""
+# Groups of these tables are small enough for exact sketches.
+sql("sketch_by_category", SCORED, f"SELECT merchant_category, {SKETCHED.format(users='BIGINT')} FROM scored GROUP BY 1")
+sql("sketch_by_day", SCORED, f"""
+, shops AS (
+  SELECT CAST("timestamp" AS DATE) AS "day", merchant_id, count(*) AS n FROM scored GROUP BY 1, 2
+), best AS (
+  SELECT "day", merchant_id AS top_merchant, n AS top_count FROM shops
+  QUALIFY row_number() OVER (PARTITION BY "day" ORDER BY n DESC, merchant_id) = 1
+), days AS (
+  SELECT CAST("timestamp" AS DATE) AS "day", {SKETCHED.format(users='BIGINT')} FROM scored
+  WHERE CAST("timestamp" AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-17' GROUP BY 1
+)
+SELECT * FROM days JOIN best USING ("day")""")
+sql("serving_kpis", SCORED, """
+SELECT count(*) AS total_transactions, count(*) FILTER (WHERE predicted_fraud = 1) AS frauds_detected,
+  round(100e0 * count(*) FILTER (WHERE predicted_fraud = 1) / count(*), 6) AS fraud_rate_pct,
+  round(sum(amount), 4) AS total_amount, round(avg(fraud_score), 6) AS avg_fraud_score
+FROM scored""")
+sql("serving_timeline", SCORED, """
+SELECT time_bucket(INTERVAL 5 MINUTE, "timestamp", TIMESTAMP '1970-01-01') AS bucket, count(*) AS total,
+  count(*) FILTER (WHERE predicted_fraud = 1) AS frauds, count(*) FILTER (WHERE predicted_fraud = 0) AS normal
+FROM scored GROUP BY 1""")
+sql("serving_by_category", SCORED, """
+SELECT merchant_category, count(*) FILTER (WHERE predicted_fraud = 1) AS frauds, count(*) AS total,
+  round(count(*) FILTER (WHERE predicted_fraud = 1) / CAST(count(*) AS DOUBLE), 9) AS rate
+FROM scored GROUP BY 1""")
+sql("serving_hours", SCORED, """
+SELECT CAST(hour("timestamp") AS INTEGER) AS "hour", count(*) AS total, count(*) FILTER (WHERE predicted_fraud = 1) AS frauds
+FROM scored GROUP BY 1""")
