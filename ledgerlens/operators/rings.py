@@ -89,7 +89,7 @@ def core(edges: DataFrame, k: int) -> DataFrame:
     return current
 
 
-def fraud_core(edges: DataFrame, k: int = 3) -> DataFrame:
+def fraud_core(edges: DataFrame, k: int = 2) -> DataFrame:
     """(node, degree) of the users and merchants in the ``k``-core of the fraud graph."""
     left = core(edges.select(F.col("merchant_id").alias("low"), F.col("user_id").alias("high")), k)
     return left.select(F.explode(F.array("low", "high")).alias("node")).groupBy("node").agg(count_rows().alias("degree"))

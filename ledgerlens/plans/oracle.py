@@ -570,7 +570,7 @@ rounds(n, es) AS (
     SELECT n, es, coalesce((
       SELECT list(e) FROM (
         SELECT e, count(*) OVER (PARTITION BY e.a) AS da, count(*) OVER (PARTITION BY e.b) AS db FROM (SELECT unnest(es) AS e)
-      ) WHERE da >= 3 AND db >= 3), []) AS left_over
+      ) WHERE da >= 2 AND db >= 2), []) AS left_over
     FROM rounds
   ) WHERE len(left_over) < len(es)
 ), kept AS (SELECT unnest(es) AS e FROM (SELECT es FROM rounds ORDER BY n DESC LIMIT 1))""", """
