@@ -73,7 +73,8 @@ def op9_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def op10_repeated_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return units.repeated_spans(table(spark, sf_dir, "documents"))
+    spans = units.repeated_spans(table(spark, sf_dir, "documents"))
+    return spans.select("doc_id", "start", "end", "n_words", "first_doc_id")
 
 
 @registered

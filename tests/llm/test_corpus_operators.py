@@ -198,6 +198,55 @@ def test_short_repeats_are_reported(make_docs):
     assert units.repeated_spans(docs, min_words=11).count() == 2
 
 
+def plain_cleaned(rows, hash_of, unit_words=8):
+    """(doc_id, text) -> what is left of it, with all units of all texts in hand."""
+    places = defaultdict(list)
+    for doc, text in rows:
+        cuts = [0, *(x for m in units.BORDER.finditer(text or "") for x in m.span()), len(text or "")]
+        pieces = [(a, b) for a, b in zip(cuts[::2], cuts[1::2]) if text and units.TOKEN.search(text[a:b])]
+        words = [units.TOKEN.findall(text[a:b].lower()) for a, b in pieces]
+        for i in range(len(pieces)):
+            j = next((j for j in range(i + 1, len(pieces) + 1) if sum(map(len, words[i:j])) >= unit_words), None)
+            before = text[pieces[i - 1][1] : pieces[i][0]] if i else "\n"
+            if j is None and not re.search(r"[\n\r\u2028\u2029]", before):
+                continue
+            rank = (1, hash_of[text]) if doc is None else (0, doc)
+            places[" ".join(sum(words[i : j or len(pieces)], []))].append((rank, text, i, doc, pieces[i][0], pieces[(j or len(pieces)) - 1][1]))
+    gone = defaultdict(set)
+    for found in places.values():
+        first, seen = min(f[0] for f in found), set()
+        for rank, text, _, doc, start, end in sorted(set(found)):
+            if rank > first or (doc, text) in seen:
+                gone[doc, text].update(range(start, end))
+            seen.add((doc, text))
+    return {(doc, text): "".join(c for at, c in enumerate(text) if at not in out) for (doc, text), out in gone.items()}
+
+
+def test_units_against_brute_force(spark, make_docs, monkeypatch):
+    real = [(r.doc_id, r.text) for r in table(spark, SF_DIR, "documents").collect()]
+    odd = [(None, "Alone without an id, this line has nine words here.\nOwn words."), (None, "Other head.\nAlone without an id, this line has nine words here."),
+           (900_001, "A shared line of eight words stands here.\nFirst part."), (900_001, "Second part.\nA shared line of eight words stands here."),
+           (900_002, "Say it twice, in the very same text please.\nSay it twice, in the very same text please."),
+           (900_003, "This head differs from all others by these words. Thank you."), (900_004, "Nothing in this head is like the one before it. Thank you."),
+           (900_005, "Thank you."), (900_006, "More\nThank you."), (900_007, None), (900_008, "")]
+    rows = real + odd
+    docs = make_docs([(d, t, "en", "a") for d, t in rows])
+    hashes = {r.text: r.h for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    expected = plain_cleaned(rows, hashes)
+    assert len(expected) > 50
+    for frequent in (units.MAX_FREQUENT, 3):
+        monkeypatch.setattr(units.marked_units, "__defaults__", (frequent,))
+        left = units.remove_spans(docs, units.repeated_spans(docs), ["doc_id"]).collect()
+        assert len(left) == len(rows)
+        kept = Counter((r.doc_id, squeezed(r.text)) for r in left)
+        assert kept == Counter((d, squeezed(expected.get((d, t), t))) for d, t in rows)
+
+
+def squeezed(text):
+    """Without white space: that between removed sentences may go or stay."""
+    return None if text is None else re.sub(r"\s", "", text)
+
+
 def shared_targets(sizes, weights):
     """Shares by weight, the excess over three times the size reshared until none is above."""
     total, capped = sum(sizes.values()), {}
