@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -110,6 +111,13 @@ class Scratch:
         self.kept.clear()
 
 
+def free_memory() -> None:
+    """Give freed memory back to the system: a Python worker lives on and keeps what its largest task needed."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def within_broadcast(small: DataFrame, limit: int = 1_000_000) -> DataFrame:
     """A stored list of hashes, sent to all tasks if it has at most ``limit`` rows (16 MB), else shuffled."""
     return F.broadcast(small) if small.count() <= limit else small

@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import Scratch, crc32_remainder, map_batches, map_frames, ship, small_batches, stored
+from ledgerlens.llm.common import Scratch, crc32_remainder, free_memory, map_batches, map_frames, ship, small_batches, stored
 from ledgerlens.llm.elias_fano import Trie
 
 SHARD_TOKENS = 2_000_000
@@ -149,6 +149,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
             for start in range(0, len(words), 200_000):
                 part = slice(start, start + 200_000)
                 yield pa.RecordBatch.from_pydict({"word": signed(words[part]), "c": n[part].astype(np.int64)})
+        free_memory()
 
     return map_batches(texts, run, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -175,6 +176,7 @@ def pair_counts(texts: DataFrame, shards: int, frequent: np.ndarray) -> DataFram
             for s in np.flatnonzero(np.diff(cuts)):
                 part = slice(cuts[s], cuts[s + 1])
                 yield pa.RecordBatch.from_pydict({"shard": [int(s)], "data": [packed_pairs(words[part], contexts[part], n[part])]})
+        free_memory()
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         words, contexts, n = (np.concatenate(parts) for parts in zip(*map(pairs_of, frame["data"])))
@@ -184,6 +186,8 @@ def pair_counts(texts: DataFrame, shards: int, frequent: np.ndarray) -> DataFram
         total = np.add.reduceat(n, new)
         kept = total >= MIN_COUNT
         data = packed_pairs(words[new][kept], contexts[new][kept], total[kept].astype(np.uint32))
+        del words, contexts, n, order, new, total, kept
+        free_memory()
         return pd.DataFrame({"shard": [frame["shard"].iloc[0]], "data": [data]})
 
     packed = map_batches(texts, count, "shard long, data binary")
@@ -208,6 +212,7 @@ def context_sums(pairs: DataFrame) -> DataFrame:
                 for start in range(0, len(distinct), 200_000):
                     part = slice(start, start + 200_000)
                     yield pd.DataFrame({"shard": shard, "context": distinct[part].astype(np.int64), "kept": kept[part], "kinds": kinds[part]})
+        free_memory()
 
     return map_frames(pairs, run, "shard int, context long, kept long, kinds int")
 
@@ -277,10 +282,14 @@ def train(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
         order = np.argsort(keys)
         at = order[np.searchsorted(keys, contexts, sorter=order)] if len(contexts) else np.zeros(0, dtype=np.int64)
         total, b = before["c"].to_numpy()[at], before["value"].to_numpy()[at]
+        del top, before, keys, order, at
         parents = np.searchsorted(distinct, words)
         p1 = (c[parents] + 1) / floor
         value = np.log10(((n - DISCOUNT) / total + b * p1) / (b * p1))
+        del total, b, p1, n, words
         data = Trie.build(distinct, c, gain, parents, contexts.astype(np.int64), value)
+        del distinct, c, gain, parents, contexts, value
+        free_memory()
         return pd.DataFrame({"shard": [int(known["shard"].iloc[0])], "data": [data]})
 
     known = level1.unionByName(contexts)
@@ -323,6 +332,8 @@ def score(docs: DataFrame, model: Model, keep: str = "held_out") -> DataFrame:
                 befores, before = coded(contexts[part])
                 gaps = np.diff(owner[part], prepend=0).astype(np.uint32)
                 yield message(int(s), chunk, 1, pack(kinds, which, short(befores), before, gaps))
+            del words, contexts, owner, shard, order
+            free_memory()
 
     def answer(asked: pd.DataFrame, tries: pd.DataFrame) -> pd.DataFrame:
         trie = Trie(tries["data"].iloc[0]) if len(tries) else None
@@ -349,6 +360,7 @@ def score(docs: DataFrame, model: Model, keep: str = "held_out") -> DataFrame:
             sums = [np.bincount(at, weights=base[which]), np.bincount(at, weights=value[which] + gain[pair])]
             known = np.bincount(at, weights=(c > 0)[which]).astype(np.uint32)
             out.append((chunk, 1, pack(np.array([first]), *sums, known)))
+        free_memory()
         return pd.DataFrame(out, columns=["chunk", "kind", "data"])
 
     def add_up(frame: pd.DataFrame) -> pd.DataFrame:
