@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
+import time
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -106,8 +108,11 @@ class Scratch:
         for spark, path in self.kept:
             folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-        if self.kept:
+        # A first collection frees the frames' objects, a second what only they held: the shuffles.
+        for _ in range(2 if self.kept else 0):
+            gc.collect()
             self.kept[0][0].sparkContext._jvm.System.gc()
+            time.sleep(1)
         self.kept.clear()
 
 

@@ -231,7 +231,15 @@ def train(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
     Pairs stay packed in their shard. What leaves it are the sums of each of its
     contexts; they come back with the totals over all shards.
     """
-    spark, scratch = docs.sparkSession, Scratch()
+    scratch = Scratch()
+    model = trained(docs, shard_tokens, scratch)
+    # Only once the frames of training are gone can the driver's collection remove their shuffle files.
+    scratch.clear()
+    return model
+
+
+def trained(docs: DataFrame, shard_tokens: int, scratch: Scratch) -> Model:
+    spark = docs.sparkSession
     texts = docs.select(F.col("text").alias("t"))
     words = scratch.stored(word_counts(texts), "lm-words")
     tokens, vocabulary = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
@@ -295,7 +303,6 @@ def train(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
     known = level1.unionByName(contexts)
     tries = pairs.groupBy("shard").cogroup(known.withColumn("shard", F.col("shard").cast("long")).groupBy("shard")).applyInPandas(build, "shard long, data binary")
     tries = stored(tries, "lm-tries")
-    scratch.clear()
     return Model(tries, int(tokens), int(vocabulary), shards, frequent, float(begin[0]) if begin else 0.0)
 
 

@@ -225,3 +225,19 @@ def test_pairs_seen_once_are_in_the_model(make_docs):
     asked = make_docs([(0, "left3 right3", "en", "a"), (1, "left3 right4", "en", "a")]).withColumn("held_out", F.lit(True))
     seen, unseen = sorted((r.doc_id, r.score) for r in lm.score(asked, lm.train(docs)).collect())
     assert seen[1] > unseen[1] + 0.3
+
+
+def test_training_leaves_no_shuffle_files(spark, make_docs):
+    import os
+    import tempfile
+    from pathlib import Path
+
+    roots = [Path(d) for d in (os.environ.get("SPARK_LOCAL_DIRS") or spark.conf.get("spark.local.dir", tempfile.gettempdir())).split(",")]
+
+    def shuffle_files() -> set[Path]:
+        return {f for root in roots for f in root.glob("blockmgr-*/*/shuffle_*.data")}
+
+    docs = make_docs([(i, f"w{i % 7} w{i % 5} w{i % 3} end", "en", "a") for i in range(200)]).withColumn("held_out", F.lit(False))
+    before = shuffle_files()
+    lm.train(docs, shard_tokens=100)
+    assert not shuffle_files() - before
