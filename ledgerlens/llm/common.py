@@ -65,16 +65,28 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, then give back what the task took: an idle worker lives on through later stages."""
+
+    def task(items: Iterator) -> Iterator:
+        try:
+            yield from run(items)
+        finally:
+            free_memory()
+
+    return task
+
+
 def map_frames(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
     """mapInPandas with this package at hand in the workers."""
     ship(df.sparkSession)
-    return df.mapInPandas(run, schema)
+    return df.mapInPandas(released(run), schema)
 
 
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow with this package at hand in the workers: columns need not become Python objects."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(released(run), schema)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

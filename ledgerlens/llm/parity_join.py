@@ -47,7 +47,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import Scratch, map_frames, ship, small_frames, stored, within_broadcast, words_of
+from ledgerlens.llm.common import Scratch, map_batches, map_frames, small_frames, stored, within_broadcast, words_of
 from ledgerlens.llm.components import components
 
 SIZE = 5
@@ -177,8 +177,7 @@ def offers(texts: DataFrame, size: int, percent: int) -> DataFrame:
                     nodes += [np.full(sum(map(len, mine)), node_of(s), dtype=np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(nodes))], ["key", "node"])
 
-    ship(texts.sparkSession)
-    return texts.select("text").mapInArrow(run, "key long, node long")
+    return map_batches(texts.select("text"), run, "key long, node long")
 
 
 def packed_texts(texts: DataFrame, chosen: DataFrame) -> DataFrame:

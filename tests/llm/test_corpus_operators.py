@@ -470,3 +470,20 @@ def test_mixed_texts_keep_their_main_language(spark, make_docs):
     both = docs.unionByName(make_docs([(10**9, mixed, None, "a")]).select(*DOCUMENT_COLUMNS))
     kept = corpus_pipeline.language_stage(spark, both, SF_DIR).filter(F.col("doc_id") == 10**9).collect()
     assert [r.text for r in kept] == [mixed] and kept[0].lang in texts
+
+
+def test_python_tasks_give_their_memory_back(spark, monkeypatch):
+    """An idle worker keeps what its largest task took, into the pipeline's later, JVM-only stages."""
+    from ledgerlens.llm import common
+
+    handed, freed = [], []
+    df = spark.range(1)
+    monkeypatch.setattr(type(df), "mapInPandas", lambda self, run, schema: handed.append(run))
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, run, schema: handed.append(run))
+    monkeypatch.setattr(common, "free_memory", lambda: freed.append(True))
+    common.map_frames(df, lambda frames: iter(list(frames)), "id long")
+    common.map_batches(df, lambda batches: iter(list(batches)), "id long")
+    assert len(handed) == 2
+    for run in handed:
+        assert list(run(iter([1, 2]))) == [1, 2]
+    assert len(freed) == 2
